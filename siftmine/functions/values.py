@@ -32,4 +32,5 @@ def per_year(amount: Column, period: Column, factors: dict[str, int] | None = No
 def saturating_int(column: Column) -> Column:
     """Cut a double to a 32-bit integer, holding values beyond the range at its ends."""
     bounded = F.least(F.greatest(column, F.lit(float(INT_MIN))), F.lit(float(INT_MAX)))
-    return bounded.cast("int")
+    # The bounds skip null, which must stay null.
+    return F.when(column.isNotNull(), bounded.cast("int"))

@@ -65,30 +65,58 @@ class _Block:
             ]
             self.columns = np.concatenate(parts)
 
-    def distances(self, centres: np.ndarray) -> np.ndarray:
+    def distances(self, centres: _Centres) -> np.ndarray:
         """Squared distance of every row to every centre, n x k."""
-        out = np.empty((self.n, len(centres)))
+        out = np.empty((self.n, centres.k))
         if self.dense is not None:
-            for j, centre in enumerate(centres):
+            for j, centre in enumerate(centres.rows(self.dense.shape[1])):
                 gap = self.dense - centre
                 out[:, j] = np.einsum("ij,ij->i", gap, gap)
             return out
         square = np.bincount(self.rows, self.values * self.values, self.n)
-        for j, centre in enumerate(centres):
-            dot = np.bincount(self.rows, self.values * centre[self.columns], self.n)
+        rows, values, places = centres.meet(self.rows, self.values, self.columns)
+        for j, centre in enumerate(centres.filled):
+            dot = np.bincount(rows, values * centre[places], self.n)
             out[:, j] = np.maximum(square - 2 * dot + centre @ centre, 0.0)
         return out
 
-    def add_to(self, sums: np.ndarray, labels: np.ndarray) -> None:
-        """Add every row to the row of ``sums`` that its label names."""
-        if self.dense is None:
-            np.add.at(sums, (labels[self.rows], self.columns), self.values)
-            return
-        for j in np.unique(labels):
-            sums[j] += self.dense[labels == j].sum(axis=0)
-
-
-def _nearest(block: _Block, centres: np.ndarray, decimals: int) -> tuple[np.ndarray, np.ndarray]:
+    def sums(self, labels: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(cluster, coordinate, sum of the rows with that label) where the sum is not 0."""
+        if self.dense is not None:
+            total = np.stack([self.dense[labels == j].sum(axis=0) for j in range(k)])
+            cluster, index = np.nonzero(total)
+            return cluster, index, total[cluster, index]
+        width = int(self.columns.max(initial=0)) + 1
+        cell = labels[self.rows].astype(np.int64) * width + self.columns
+        cells, inverse = np.unique(cell, return_inverse=True)
+        return cells // width, cells % width, np.bincount(inverse, self.values, len(cells))
+
+
+class _Centres:
+    """Centroids without the coordinates that are 0 in all of them."""
+
+    def __init__(self, centroids: np.ndarray):
+        self.k, self.d = centroids.shape
+        self.active = np.flatnonzero(centroids.any(axis=0))
+        self.filled = np.ascontiguousarray(centroids[:, self.active])
+
+    def rows(self, d: int) -> np.ndarray:
+        full = np.zeros((self.k, d))
+        full[:, self.active] = self.filled
+        return full
+
+    def meet(
+        self, rows: np.ndarray, values: np.ndarray, columns: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The entries in active coordinates, with the place of the coordinate."""
+        if not len(self.active):
+            return rows[:0], values[:0], columns[:0]
+        place = np.minimum(np.searchsorted(self.active, columns), len(self.active) - 1)
+        hit = self.active[place] == columns
+        return rows[hit], values[hit], place[hit]
+
+
+def _nearest(block: _Block, centres: _Centres, decimals: int) -> tuple[np.ndarray, np.ndarray]:
     distance = block.distances(centres)
     # Rounding makes ties independent of the order of summation; the lowest index wins.
     label = np.round(distance, decimals).argmin(axis=1)
@@ -99,7 +127,7 @@ def kmeans_assign(
     df: DataFrame, centroids, features: str = "features", decimals: int = 9
 ) -> DataFrame:
     """Add ``cluster`` and ``sqdist``: the nearest centroid and the squared distance to it."""
-    centres = _checked(centroids)
+    centres = _Centres(_checked(centroids))
 
     @F.arrow_udf("cluster int, sqdist double")
     def nearest(column: pa.Array) -> pa.Array:
@@ -120,7 +148,7 @@ def distance_to_cluster(
     df: DataFrame, centroids, features: str = "features", cluster: str = "cluster"
 ) -> DataFrame:
     """Add ``sqdist`` to the centroid of the cluster a row already has."""
-    centres = _checked(centroids)
+    centres = _Centres(_checked(centroids))
 
     @F.arrow_udf("double")
     def distance(column: pa.Array, label: pa.Array) -> pa.Array:
@@ -191,41 +219,40 @@ def kmeans_update(assigned: DataFrame, centroids, features: str = "features") ->
     )
 
 
-def _step(data: DataFrame, centres: np.ndarray, decimals: int) -> tuple[np.ndarray, float]:
+def _step(data: DataFrame, centroids: np.ndarray, decimals: int) -> tuple[np.ndarray, float]:
     """One assignment and update in a single pass; tasks hand on sums, not rows."""
-    k, d = centres.shape
+    k = len(centroids)
+    centres = _Centres(centroids)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums, sizes, cost = np.zeros((k, d)), np.zeros(k), np.zeros(k)
         for batch in batches:
             block = _Block(batch.column(0))
             label, distance = _nearest(block, centres, decimals)
-            block.add_to(sums, label)
-            sizes += np.bincount(label, minlength=k)
-            cost += np.bincount(label, distance, k)
-        cluster, index = np.nonzero(sums)
-        some = np.arange(k)
-        yield pa.RecordBatch.from_pydict(
-            {
-                "cluster": np.concatenate([cluster, some, some]).astype(np.int32),
-                "idx": np.concatenate([index, np.full(k, _COUNT), np.full(k, _COST)]).astype(
-                    np.int32
-                ),
-                "s": np.concatenate([sums[cluster, index], sizes, cost]),
-            }
-        )
+            cluster, index, total = block.sums(label, k)
+            every = np.arange(k)
+            size = np.bincount(label, minlength=k)
+            cost = np.bincount(label, distance, k)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "cluster": np.concatenate([cluster, every, every]).astype(np.int32),
+                    "idx": np.concatenate(
+                        [index, np.full(k, _COUNT), np.full(k, _COST)]
+                    ).astype(np.int32),
+                    "s": np.concatenate([total, size, cost]),
+                }
+            )
 
     parts = data.mapInArrow(partial, "cluster int, idx int, s double")
     # At most k * (d + 2) rows, the size of the centroids.
-    total = parts.groupBy("cluster", "idx").agg(F.sum("s").alias("s")).toArrow()
-    cluster, index, s = (total.column(i).to_numpy() for i in range(3))
+    summed = parts.groupBy("cluster", "idx").agg(F.sum("s").alias("s")).toArrow()
+    cluster, index, s = (summed.column(i).to_numpy() for i in range(3))
     sizes = np.zeros(k)
     sizes[cluster[index == _COUNT]] = s[index == _COUNT]
-    sums = np.zeros((k, d))
+    sums = np.zeros_like(centroids)
     cell = index >= 0
     sums[cluster[cell], index[cell]] = s[cell]
     filled = sizes > 0
-    moved = centres.copy()
+    moved = centroids.copy()
     moved[filled] = sums[filled] / sizes[filled, None]
     return moved, float(s[index == _COST].sum())
 
@@ -261,8 +288,12 @@ def kmeans_lloyd(
 
 
 def _fit_predict(estimator, df: DataFrame, features: str) -> DataFrame:
-    model = estimator.setFeaturesCol(features).setPredictionCol("cluster").fit(df)
-    return distance_to_cluster(model.transform(df), model.clusterCenters(), features)
+    is_vector = isinstance(df.schema[features].dataType, VectorUDT)
+    vector = F.col(features) if is_vector else array_to_vector(F.col(features))
+    df = df.withColumn("_vector", vector)
+    model = estimator.setFeaturesCol("_vector").setPredictionCol("cluster").fit(df)
+    assigned = distance_to_cluster(model.transform(df), model.clusterCenters(), "_vector")
+    return assigned.drop("_vector")
 
 
 def kmeans(

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftmine.operators.ids import ordered_index
-from siftmine.operators.skew import hot_keys, salted_join
+from siftmine.operators.skew import ROWS_PER_TASK, HotKeys, salted_join, settle
 
 # Distinct baskets that one task mines in memory.
 CHUNK_BASKETS = 100_000
@@ -45,23 +45,24 @@ def frequent_items(rows: DataFrame, support: int) -> DataFrame:
     )
 
 
-def pruned_baskets(rows: DataFrame, support: int) -> DataFrame:
+def pruned_baskets(
+    rows: DataFrame, support: int, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """(basket, items): the sorted frequent items of each basket that has any."""
     unique = rows.select("basket", F.col("item").cast("string").alias("item")).distinct()
-    keep = (
-        unique.groupBy("item")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= support)
-    )
-    kept = salted_join(unique, keep.select("item"), "item", hot_keys(keep, "item"), ["basket"])
+    keep = settle(frequent_items(unique, support), "frequent-items")
+    hot = HotKeys(keep, "item", rows_per_task=rows_per_task)
+    kept = salted_join(unique, keep.select("item"), hot, ["basket"])
     return kept.groupBy("basket").agg(F.array_sort(F.collect_list("item")).alias("items"))
 
 
-def weighted_baskets(rows: DataFrame, support: int) -> DataFrame:
+def weighted_baskets(
+    rows: DataFrame, support: int, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
     """(items, weight): distinct baskets of frequent items, with their number."""
-    return (
-        pruned_baskets(rows, support).groupBy("items").agg(F.count(F.lit(1)).alias("weight"))
-    )
+    pruned = pruned_baskets(rows, support, rows_per_task)
+    counted = pruned.groupBy("items").agg(F.count(F.lit(1)).alias("weight"))
+    return settle(counted, "baskets")
 
 
 def _shape(itemsets: DataFrame) -> DataFrame:
@@ -73,7 +74,7 @@ def frequent_itemsets(rows: DataFrame, support: int, partitions: int | None = No
 
     ``rows`` holds (basket, item).
     """
-    pruned = pruned_baskets(rows, support)
+    pruned = settle(pruned_baskets(rows, support), "baskets")
     total = pruned.count()
     if not total:
         return rows.sparkSession.createDataFrame([], f"items {_ITEMSET}, size int, freq long")
@@ -167,7 +168,11 @@ def son_candidates(
 
 
 def son_verify(
-    rows: DataFrame, candidates: DataFrame, support: int, weighted: DataFrame | None = None
+    rows: DataFrame,
+    candidates: DataFrame,
+    support: int,
+    weighted: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """(items, size, freq) of the candidates in at least ``support`` baskets, counted exactly.
 
@@ -175,10 +180,11 @@ def son_verify(
     tested against the whole basket in that row.
     """
     weighted = weighted_baskets(rows, support) if weighted is None else weighted
-    counts = (
+    counts = settle(
         weighted.select(F.explode("items").alias("item"), "weight")
         .groupBy("item")
-        .agg(F.sum("weight").alias("freq"), F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("weight").alias("freq"), F.count(F.lit(1)).alias("n")),
+        "item-counts",
     )
     wanted = candidates.select(F.col("items").alias("candidate")).distinct()
     anchored = (
@@ -190,7 +196,8 @@ def son_verify(
         .select("candidate", F.col("_rarest.item").alias("item"))
     )
     members = weighted.select(F.explode("items").alias("item"), "items", "weight")
-    met = salted_join(members, anchored, "item", hot_keys(counts, "item"), ["items"])
+    hot = HotKeys(counts, "item", rows_per_task=rows_per_task)
+    met = salted_join(members, anchored, hot, ["items"])
     held = met.filter(F.size(F.array_except("candidate", "items")) == 0)
     return _shape(
         held.groupBy(F.col("candidate").alias("items"))

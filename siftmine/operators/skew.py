@@ -1,8 +1,9 @@
 """Joins that stay balanced when a few keys hold a large part of the rows.
 
 Only the heaviest keys are split. Their list is at most ``max_hot`` rows long
-whatever the data size, so broadcasting it is safe; a key that is not among
-the ``max_hot`` heaviest holds less than ``1 / max_hot`` of all rows.
+whatever the data size, so it may go through the driver and be broadcast; a key
+that is not among the ``max_hot`` heaviest holds less than ``1 / max_hot`` of
+all rows. Where no key is heavy the plain join is planned.
 """
 
 from __future__ import annotations
@@ -10,30 +11,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftmine.session import run_folder
+
 ROWS_PER_TASK = 1_000_000
 MAX_HOT_KEYS = 1_000
 
 
-def hot_keys(
-    counts: DataFrame,
-    key: str,
-    n: str = "n",
-    rows_per_task: int = ROWS_PER_TASK,
-    max_hot: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """(key, splits) for the heaviest keys of ``counts`` above ``rows_per_task`` rows."""
-    return (
-        counts.filter(F.col(n) > rows_per_task)
-        .orderBy(F.desc(n), key)
-        .limit(max_hot)
-        .select(key, F.ceil(F.col(n) / rows_per_task).cast("int").alias("splits"))
-    )
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For tables that several later steps use: they are computed once, survive
+    the loss of executors, and their true size decides how they are joined.
+    """
+    spark = df.sparkSession
+    path = run_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+class HotKeys:
+    """The heaviest values of ``key`` in a table of counts, with the splits each needs."""
+
+    def __init__(
+        self,
+        counts: DataFrame,
+        key: str,
+        n: str = "n",
+        rows_per_task: int = ROWS_PER_TASK,
+        max_hot: int = MAX_HOT_KEYS,
+    ):
+        heavy = counts.filter(F.col(n) > rows_per_task).orderBy(F.desc(n), key).limit(max_hot)
+        splits = F.ceil(F.col(n) / rows_per_task).cast("int")
+        self.key = key
+        self.table = heavy.select(key, splits.alias("_splits")).toArrow()
+        self.spark = counts.sparkSession
 
+    def __bool__(self) -> bool:
+        return self.table.num_rows > 0
 
-def with_splits(df: DataFrame, key: str, hot: DataFrame, splits: str = "_splits") -> DataFrame:
-    """Add the number of splits of each row's key, 1 where the key is not hot."""
-    lookup = F.broadcast(hot.select(F.col(key), F.col("splits").alias(splits)))
-    return df.join(lookup, key, "left").withColumn(splits, F.coalesce(F.col(splits), F.lit(1)))
+    def splits(self, df: DataFrame, column: str, name: str = "_splits") -> DataFrame:
+        """Add the number of splits of the key in ``column``, 1 where it is not hot."""
+        lookup = self.spark.createDataFrame(self.table).toDF(column, name)
+        return df.join(F.broadcast(lookup), column, "left").withColumn(
+            name, F.coalesce(name, F.lit(1))
+        )
 
 
 def spread(columns: list[str], splits: Column) -> Column:
@@ -47,21 +68,18 @@ def replicate(splits: Column) -> Column:
 
 
 def salted_join(
-    facts: DataFrame,
-    dim: DataFrame,
-    key: str,
-    hot: DataFrame,
-    spread_by: list[str],
-    how: str = "inner",
+    facts: DataFrame, dim: DataFrame, hot: HotKeys, spread_by: list[str], how: str = "inner"
 ) -> DataFrame:
-    """Equi-join of ``facts`` and ``dim`` on ``key`` with hot keys split.
+    """Equi-join of ``facts`` and ``dim`` on the key of ``hot``, hot keys split.
 
     Rows of a hot key are spread over its splits by ``spread_by`` and the
     matching ``dim`` rows are repeated once per split, so the result is the
     same as that of the plain join.
     """
-    left = with_splits(facts, key, hot)
+    if not hot:
+        return facts.join(dim, hot.key, how)
+    left = hot.splits(facts, hot.key)
     left = left.withColumn("_salt", spread(spread_by, F.col("_splits"))).drop("_splits")
-    right = with_splits(dim, key, hot)
+    right = hot.splits(dim, hot.key)
     right = right.withColumn("_salt", replicate(F.col("_splits"))).drop("_splits")
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    return left.join(right, [hot.key, "_salt"], how).drop("_salt")

@@ -180,13 +180,13 @@ def user_means(spark, folder):
 
 @query
 def item_deviations(spark, folder):
-    return _round(recommend.item_deviations(inputs.ratings(spark, folder)), 6, "dev")
+    return recommend.item_deviations(inputs.ratings(spark, folder))
 
 
 @query
 def item_pair_similarity(spark, folder):
     dev = recommend.item_deviations(inputs.train_test(spark, folder)[0])
-    return _round(recommend.item_pair_similarity(dev), 6, "sim")
+    return recommend.item_pair_similarity(dev)
 
 
 def _cf(spark, folder, denominator):
@@ -397,17 +397,13 @@ def cluster_summary(spark, folder):
 
 @query
 def kmeans(spark, folder):
-    found = clustering.kmeans(inputs.vectors(spark, folder).withColumn(
-        "features", F.transform("features", lambda x: x.cast("double"))
-    ), sql.K, 20)
+    found = clustering.kmeans(inputs.vectors(spark, folder), sql.K, 20)
     return _round(clustering.cluster_summary(found), 4, "error")
 
 
 @query
 def bisecting_kmeans(spark, folder):
-    found = clustering.bisecting_kmeans(inputs.vectors(spark, folder).withColumn(
-        "features", F.transform("features", lambda x: x.cast("double"))
-    ), sql.K, 20)
+    found = clustering.bisecting_kmeans(inputs.vectors(spark, folder), sql.K, 20)
     return _round(clustering.cluster_summary(found), 4, "error")
 
 
@@ -532,7 +528,8 @@ def bloom_audit_legacy(spark, folder):
 
 def _stream(spark, folder, name):
     schema = readers.read_table(spark, folder, name).schema
-    return readers.stream_texts(spark, schema, f"{folder}/{name}.parquet")
+    # A pattern, so that a table may be one file or a folder of files.
+    return readers.stream_texts(spark, schema, f"{folder}/{name}.parque[t]")
 
 
 def _finished(stream_query):

@@ -274,7 +274,8 @@ SURVEY_STATS = """count(salary) AS n, {low} AS min_value, {high} AS max_value,
 
 
 def _saturate(value: str) -> str:
-    return f"CAST(trunc(least(greatest({value}, -2147483648), 2147483647)) AS INTEGER)"
+    bounded = f"CAST(trunc(least(greatest({value}, -2147483648), 2147483647)) AS INTEGER)"
+    return f"CASE WHEN {value} IS NOT NULL THEN {bounded} END"
 
 
 REPORT_LINES = """
@@ -331,10 +332,10 @@ ORACLE: dict[str, str] = {
       FROM ratings GROUP BY "user" """,
     "item_deviations": f"""WITH {RATINGS}, im AS (
         SELECT item, avg(rating) AS mean FROM ratings GROUP BY item)
-      SELECT "user", item, round(round(rating - mean, 9), 6) + 0.0e0 AS dev
+      SELECT "user", item, round(rating - mean, 9) + 0.0e0 AS dev
       FROM ratings JOIN im USING (item)""",
     "item_pair_similarity": f"""WITH {PAIRS}
-      SELECT item_a, item_b, round(sim, 6) + 0.0e0 AS sim, n_common FROM sims""",
+      SELECT * FROM sims""",
     "item_cf_predict": f"WITH {CF_ABS} SELECT * FROM cf",
     "item_cf_predict_signed": f"WITH {CF_SIGNED} SELECT * FROM cf",
     "rating_error_histogram": f"""WITH {CF_ABS}, e AS (

@@ -1,0 +1,126 @@
+import numpy as np
+import pytest
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from siftmine.operators import clustering, features
+from siftmine.plans import jobs
+
+
+def _points(spark, n=300, d=6, seed=0, copies=0):
+    dice = np.random.default_rng(seed)
+    x = np.round(dice.normal(size=(n, d)), 3) * (dice.random((n, d)) < 0.5)
+    x[: copies] = x[0]
+    rows = [(i, [float(v) for v in point]) for i, point in enumerate(x)]
+    return spark.createDataFrame(rows, "id long, features array<double>"), x
+
+
+def _assigned(df):
+    return [(r["cluster"], r["sqdist"]) for r in df.orderBy("id").collect()]
+
+
+def _sparse(df):
+    return df.withColumn("features", array_to_vector("features"))
+
+
+@pytest.mark.parametrize("as_vector", [False, True])
+def test_assign_and_update_match_numpy(spark, as_vector):
+    df, x = _points(spark)
+    df = _sparse(df) if as_vector else df
+    centres = x[:5].copy()
+    distance = ((x[:, None] - centres) ** 2).sum(2)
+    found = _assigned(clustering.kmeans_assign(df, centres))
+    assert [c for c, _ in found] == list(np.round(distance, 9).argmin(1))
+    assert [s for _, s in found] == pytest.approx(list(distance.min(1)))
+    moved = clustering.kmeans_update(clustering.kmeans_assign(df, centres), centres)
+    for row in moved.collect():
+        own = x[np.round(distance, 9).argmin(1) == row["cluster"]]
+        assert row["n"] == len(own)
+        assert row["centroid"] == pytest.approx(list(own.mean(0)))
+
+
+def test_sparse_vectors_cluster_like_dense_ones(spark):
+    docs = [f"{'red ' * (i % 4)}{'blue ' * (i % 3)}green w{i % 7}" for i in range(120)]
+    df = spark.createDataFrame(list(enumerate(docs)), "id long, text string")
+    tf = features.hashed_tf(features.tokenize_docs(df, "text"), 64)
+    dense = tf.select("id", vector_to_array("tf").alias("features"))
+    sparse = tf.select("id", F.col("tf").alias("features"))
+    a, cost_a = clustering.kmeans_lloyd(dense, 4, 5, 1, "id")
+    b, cost_b = clustering.kmeans_lloyd(sparse, 4, 5, 1, "id")
+    assert np.allclose(a, b) and cost_a == pytest.approx(cost_b)
+    assert _assigned(clustering.kmeans_assign(dense, a)) == [
+        (c, pytest.approx(s, abs=1e-9)) for c, s in _assigned(clustering.kmeans_assign(sparse, a))
+    ]
+
+
+def test_equidistant_point_goes_to_the_lowest_index(spark):
+    df = spark.createDataFrame([(0, [0.0]), (1, [2.0])], "id long, features array<double>")
+    found = _assigned(clustering.kmeans_assign(df, [[1.0], [-1.0], [3.0]]))
+    assert found == [(0, 1.0), (0, 1.0)]
+
+
+def test_seed_skips_copies_and_ignores_partitions(spark):
+    df, x = _points(spark, n=90, copies=30)
+    seeds = clustering.kmeans_seed(df, "id", 5, 3).collect()
+    assert len({tuple(r["features"]) for r in seeds}) == 5
+    again = clustering.kmeans_seed(df.repartition(7), "id", 5, 3).collect()
+    assert [r["id"] for r in seeds] == [r["id"] for r in again]
+
+
+def test_more_clusters_than_distinct_points(spark):
+    same = [(i, [1.0, 2.0]) for i in range(40)] + [(40, [3.0, 4.0])]
+    df = spark.createDataFrame(same, "id long, features array<double>")
+    assert clustering.kmeans_seed(df, "id", 4, 1).count() == 2
+    vectors = _sparse(df)
+    assert clustering.kmeans_seed(vectors, "id", 4, 1).count() == 2
+
+
+def test_empty_cluster_keeps_its_centroid(spark):
+    df, _ = _points(spark, n=20)
+    far = [[0.0] * 6, [1e6] * 6]
+    moved = clustering.kmeans_update(clustering.kmeans_assign(df, far), far)
+    last = moved.filter("cluster = 1").first()
+    assert last["n"] == 0 and last["centroid"] == [1e6] * 6
+
+
+def test_lloyd_cost_falls_and_equals_separate_steps(spark):
+    df, _ = _points(spark)
+    centres, costs = clustering.kmeans_lloyd(df, 4, 6, 2, "id")
+    assert len(costs) == 6 and all(b <= a + 1e-9 for a, b in zip(costs, costs[1:]))
+    step = clustering.centroid_array(clustering.kmeans_seed(df, "id", 4, 2))
+    for _ in range(6):
+        moved = clustering.kmeans_update(clustering.kmeans_assign(df, step), step)
+        step = clustering.centroid_array(moved, "centroid")
+    assert np.allclose(centres, step)
+    _, short = clustering.kmeans_lloyd(df, 4, 100, 2, "id", tol=1e-9)
+    assert len(short) < 100
+
+
+def test_mllib_clusters(spark):
+    df, _ = _points(spark)
+    for fit in (clustering.kmeans, clustering.bisecting_kmeans):
+        found = clustering.cluster_summary(fit(df, 4, 10))
+        assert found.agg(F.sum("size")).first()[0] == 300
+
+
+def test_terms_and_report(spark):
+    rows = [(0, ["a", "b", "b"], 1.0), (0, ["a", ""], 2.0), (1, ["z"], 4.0), (2, [], 0.5)]
+    docs = spark.createDataFrame(rows, "cluster int, tokens array<string>, sqdist double")
+    terms = clustering.cluster_terms(docs, n=2)
+    assert [(r["cluster"], r["rank"], r["term"]) for r in terms.orderBy("cluster", "rank").collect()] == [
+        (0, 1, "a"), (0, 2, "b"), (1, 1, "z"),
+    ]
+    report = clustering.cluster_report(clustering.cluster_summary(docs), terms, "K").first()
+    assert (report["algorithm"], report["wsse"]) == ("K", 7.5)
+    assert [(c["id"], c["size"], c["error"], c["terms"]) for c in report["clusters"]] == [
+        (0, 2, 3.0, ["a", "b"]), (1, 1, 4.0, ["z"]), (2, 1, 0.5, []),
+    ]
+
+
+@pytest.mark.parametrize("weighting", ["tf", "tfidf"])
+def test_lloyd_report_job(spark, weighting):
+    docs = [f"{'x ' * (i % 5)}{'y ' * (i % 2)}word{i % 3}" for i in range(40)]
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    report = jobs.lloyd_report(features.tokenize_docs(df, "text"), 3, 4, weighting).first()
+    assert sum(c["size"] for c in report["clusters"]) == 40
+    assert report["wsse"] == pytest.approx(sum(c["error"] for c in report["clusters"]))
