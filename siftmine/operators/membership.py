@@ -24,21 +24,26 @@ def bloom_hashes(
     return df.withColumn("h1", h1).withColumn("h2", h2)
 
 
+def _first(df: DataFrame, key: str, order: list[str], *others: Column) -> DataFrame:
+    """Smallest position per ``key``, as the struct ``first``."""
+    # A single number is aggregated by hashing, a struct only by sorting.
+    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    found = df.groupBy(key).agg(F.min(position).alias("first"), *others)
+    if len(order) == 1:
+        found = found.withColumn("first", F.struct(F.col("first").alias(order[0])))
+    return found
+
+
 def first_seen(tags: DataFrame, order: list[str]) -> DataFrame:
     """(tag, first, n): first position and number of occurrences of every tag."""
-    return tags.groupBy("tag").agg(
-        F.min(F.struct(*order)).alias("first"), F.count(F.lit(1)).alias("n")
-    )
+    return _first(tags, "tag", order, F.count(F.lit(1)).alias("n"))
 
 
 def first_set(firsts: DataFrame, m: int = BITS, legacy: bool = False) -> DataFrame:
     """(bit, first): first position that sets each bit; at most ``m`` rows."""
     bits = F.array(*bit_positions(F.col("tag"), m, legacy))
-    return (
-        firsts.select(F.explode(bits).alias("bit"), "first")
-        .groupBy("bit")
-        .agg(F.min("first").alias("first"))
-    )
+    order = firsts.schema["first"].dataType.names
+    return _first(firsts.select(F.explode(bits).alias("bit"), "first.*"), "bit", order)
 
 
 def _flag(tags: DataFrame, order: list[str], news: DataFrame, name: str) -> DataFrame:

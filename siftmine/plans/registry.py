@@ -560,4 +560,4 @@ def stream_bloom(spark, folder):
     state = run_folder(spark, "bloom")
     tags = inputs.as_event_tags(_stream(spark, folder, "events"))
     _finished(streams.stream_bloom(tags, state, tag="tag", text=None))
-    return streams.latest_metrics(spark, state)
+    return streams.latest_metrics(spark, state).drop("at", "bloom_new")

@@ -1,21 +1,22 @@
 """Running sample and running filter audit over a stream of texts.
 
-The sources give no order across batches other than the batch number, so a
-position is the batch number followed by the order columns within the batch.
-Only figures of fixed size reach the driver.
+The sources give no order across batches other than that of the batches, so a
+position is the time of the batch followed by the order columns within it. The
+figures of a batch are a folder of their own, written anew if the batch runs again.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from siftmine.operators.membership import BITS, audit_figures, first_seen, first_set
-from siftmine.operators.sampling import SAMPLE_SIZE, extract_tags, reservoir_sample, reservoir_stats
-from siftmine.streaming.state import GrowingTable, VersionedTable
+from siftmine.functions.text import bit_positions, tag_array
+from siftmine.operators.membership import BITS, audit_figures
+from siftmine.operators.sampling import SAMPLE_SIZE, reservoir_sample, reservoir_stats
+from siftmine.streaming.state import VersionedTable
 
 BATCH_SECONDS = 10
 
@@ -26,8 +27,10 @@ def _start(
     on_batch: Callable[[DataFrame, int], None],
     available_now: bool,
 ) -> StreamingQuery:
-    writer = stream.writeStream.foreachBatch(on_batch).option(
-        "checkpointLocation", f"{state_dir}/progress"
+    writer = (
+        stream.writeStream.outputMode("update")
+        .foreachBatch(on_batch)
+        .option("checkpointLocation", f"{state_dir}/progress")
     )
     if available_now:
         return writer.trigger(availableNow=True).start()
@@ -85,6 +88,34 @@ def _reservoir_state(
     )
 
 
+def _bloom_keys(
+    stream: DataFrame, order_col: str, tags: Column, m: int, legacy: bool
+) -> DataFrame:
+    """One row per text, per tag occurrence and per bit of an occurrence, with its position."""
+    # In a stream this is the time of the batch, which stays the same if the batch runs again.
+    at = F.current_timestamp().alias("at")
+    occurrences = stream.select(at, F.col(order_col).alias("event"), tags.alias("tags")).select(
+        "at", "event", F.size("tags").alias("n_tags"), F.posexplode_outer("tags")
+    )
+    h1, h2 = bit_positions(F.col("col"), m, legacy)
+
+    def entry(condition: Column, kind: str, key: Column) -> Column:
+        return F.when(
+            condition, F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"))
+        )
+
+    is_tag = F.col("col").isNotNull()
+    entries = F.array_compact(
+        F.array(
+            entry(F.coalesce("pos", F.lit(0)) == 0, "text", F.lit("")),
+            entry(is_tag, "tag", F.col("col")),
+            entry(is_tag, "bit", h1),
+            entry(is_tag, "bit", h2),
+        )
+    )
+    return occurrences.select("at", "event", "pos", "n_tags", F.inline(entries))
+
+
 def stream_bloom(
     stream: DataFrame,
     state_dir: str,
@@ -94,59 +125,65 @@ def stream_bloom(
     m: int = BITS,
     legacy: bool = False,
     prefix: str = "#",
-    merge_every: int = 64,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Audit a Bloom filter over the tags of a stream; cumulative figures every batch.
 
     Tags come from ``text`` by ``prefix``, or one per row from the column ``tag``.
+    Spark's state store holds the first position of every tag and bit; a batch
+    touches only the keys it contains, and copies of a key are combined before
+    the shuffle. What is first seen in a batch is what the batch adds.
     """
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        known = GrowingTable(spark, f"{state_dir}/tags", "tag string", merge_every)
-        bits = VersionedTable(spark, f"{state_dir}/bits", "bit int")
-        totals = VersionedTable(
-            spark,
-            f"{state_dir}/totals",
-            "texts long, occurrences long, distinct_tags long, bloom_new long",
+    tags = F.array(F.col(tag)) if tag is not None else tag_array(F.col(text), prefix)
+    state = (
+        _bloom_keys(stream, order_col, tags, m, legacy)
+        .groupBy("kind", "key")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("n_tags").alias("n_tags"),
+            F.min(F.struct("at", "event", "pos")).alias("first"),
+            F.max("at").alias("last"),
         )
-        if tag is not None:
-            tags = batch.select(order_col, F.lit(0).alias("pos"), F.col(tag).alias("tag"))
-        else:
-            tags = extract_tags(batch, text, [order_col], prefix)
-        # Occurrences of a tag are combined before the shuffle, so a frequent tag is one row.
-        firsts = first_seen(tags, [order_col, "pos"]).persist()
-        new = firsts.join(known.before(batch_id), "tag", "left_anti")
-        old_bits = bits.before(batch_id)
-        # Bits number at most m on both sides.
-        set_now = first_set(new, m, legacy).join(old_bits, "bit", "left_anti")
-
-        prior = totals.before(batch_id)
-        figures = prior.agg(
-            *[
-                (F.coalesce(F.sum(name), F.lit(0)) + F.coalesce(value, F.lit(0)))
-                .cast("long")
-                .alias(name)
-                for name, value in {
-                    "texts": batch.agg(F.count(F.lit(1))).scalar(),
-                    "occurrences": firsts.agg(F.sum("n")).scalar(),
-                    "distinct_tags": new.agg(F.count(F.lit(1))).scalar(),
-                    "bloom_new": set_now.agg(F.count_distinct("first")).scalar(),
-                }.items()
-            ]
+    )
+
+    def on_batch(touched: DataFrame, batch_id: int) -> None:
+        spark = touched.sparkSession
+        is_text, is_new = F.col("kind") == "text", F.col("first.at") == F.col("last")
+        new_bit = F.when((F.col("kind") == "bit") & is_new, F.col("first"))
+        figures = touched.agg(
+            F.max("last").alias("at"),
+            F.max(F.when(is_text, F.col("n"))).alias("texts"),
+            F.max(F.when(is_text, F.col("n_tags"))).alias("occurrences"),
+            F.count_if((F.col("kind") == "tag") & is_new).alias("distinct_tags"),
+            F.count_distinct(new_bit).alias("bloom_new"),
         )
-        now = totals.write(batch_id, figures)
-        bits.write(batch_id, old_bits.unionByName(set_now.select("bit")))
-        known.add(batch_id, new.select("tag"))
-        firsts.unpersist()
-        report = now.select(
-            "texts",
-            *audit_figures(F.col("occurrences"), F.col("distinct_tags"), F.col("bloom_new")),
+        if batch_id:
+            before = spark.read.parquet(_metrics_path(state_dir, batch_id - 1))
+            # Positions compare by batch time, so it has to grow from batch to batch.
+            is_later = F.coalesce(F.col("at") > before.select("at").scalar(), F.lit(True))
+            checked = F.when(
+                is_later, F.col("at")
+            ).otherwise(F.raise_error(F.lit("the clock went back between two batches")))
+            figures = figures.withColumn("at", checked)
+            both = before.select(figures.columns).unionByName(figures)
+            figures = both.agg(
+                F.max("at").alias("at"),
+                F.max("texts").alias("texts"),
+                F.max("occurrences").alias("occurrences"),
+                F.sum("distinct_tags").alias("distinct_tags"),
+                F.sum("bloom_new").alias("bloom_new"),
+            )
+        report = figures.select(
+            "at",
+            "bloom_new",
+            F.coalesce("texts", F.lit(0)).alias("texts"),
+            *audit_figures(
+                F.coalesce("occurrences", F.lit(0)), F.col("distinct_tags"), F.col("bloom_new")
+            ),
         )
-        report.coalesce(1).write.mode("overwrite").parquet(_metrics_path(state_dir, batch_id))
+        report.write.mode("overwrite").parquet(_metrics_path(state_dir, batch_id))
 
-    return _start(stream, state_dir, on_batch, available_now)
+    return _start(state, state_dir, on_batch, available_now)
 
 
 def latest_metrics(spark: SparkSession, state_dir: str) -> DataFrame:

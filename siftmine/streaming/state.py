@@ -1,8 +1,8 @@
-"""State of ``foreachBatch`` jobs as tables in the shared folder.
+"""Small state of ``foreachBatch`` jobs as tables in the shared folder.
 
-A batch reads what earlier batches wrote and writes only under its own number,
-so a batch that is run again after a failure overwrites its own output and sees
-the same input. Slots are reused in turn; nothing has to be deleted.
+A batch reads what the batch before it wrote and writes only under its own
+number, so a batch that is run again after a failure overwrites its own output
+and sees the same input.
 """
 
 from __future__ import annotations
@@ -31,40 +31,3 @@ class VersionedTable:
     def write(self, batch_id: int, df: DataFrame) -> DataFrame:
         df.coalesce(1).write.mode("overwrite").parquet(self._slot(batch_id))
         return self.of(batch_id)
-
-
-class GrowingTable:
-    """A table to which every batch adds rows.
-
-    Additions of ``every`` batches are merged into one base, so the number of
-    folders stays fixed. The additions of the merged round stay until the round
-    after it, so the first batch of a round can be run again too.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: str, every: int = 64):
-        self.spark, self.path, self.schema, self.every = spark, path, schema, every
-
-    def _added(self, batch_id: int) -> str:
-        return f"{self.path}/added/slot={batch_id % (2 * self.every)}"
-
-    def _base(self, round_no: int) -> str:
-        return f"{self.path}/base/slot={round_no % 2}"
-
-    def _read(self, round_no: int, batch_id: int) -> DataFrame:
-        folders = [self._base(round_no)] if round_no else []
-        folders += [self._added(i) for i in range(round_no * self.every, batch_id)]
-        if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*folders)
-
-    def before(self, batch_id: int) -> DataFrame:
-        """All rows added by earlier batches."""
-        round_no, place = divmod(batch_id, self.every)
-        if round_no and place == 0:
-            merged = self._read(round_no - 1, batch_id)
-            merged.repartition(*merged.columns).write.mode("overwrite").parquet(self._base(round_no))
-        return self._read(round_no, batch_id)
-
-    def add(self, batch_id: int, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self._added(batch_id))
-        return self.spark.read.schema(self.schema).parquet(self._added(batch_id))

@@ -7,7 +7,7 @@ from siftmine.functions.text import bit_positions
 from siftmine.operators import membership, sampling
 from siftmine.sources.readers import stream_texts
 from siftmine.streaming import jobs as streams
-from siftmine.streaming.state import GrowingTable, VersionedTable
+from siftmine.streaming.state import VersionedTable
 
 
 def _texts(seed, n=240):
@@ -88,13 +88,13 @@ def test_stream_bloom_equals_batch(spark, source, tmp_path, sizes):
     rows = _texts(2)
     _, stream = source(rows, sizes)
     state = str(tmp_path / "state")
-    query = streams.stream_bloom(stream, state, m=64, merge_every=2)
+    query = streams.stream_bloom(stream, state, m=64)
     query.awaitTermination()
     tags = sampling.extract_tags(
         spark.createDataFrame(rows, "event_id long, text string"), "text", ["event_id"]
     )
     expected = membership.bloom_audit(tags, ["event_id", "pos"], 64).first().asDict()
-    last = streams.latest_metrics(spark, state).first().asDict()
+    last = streams.latest_metrics(spark, state).drop("at", "bloom_new").first().asDict()
     assert last.pop("texts") == 240
     assert last == expected
     history = streams.read_metrics(spark, state).orderBy("batch").collect()
@@ -123,14 +123,14 @@ def test_stream_goes_on_after_a_restart(spark, source, tmp_path):
     rows = _texts(4)
     folder, stream = source(rows[:100], [60, 40])
     state = str(tmp_path / "state")
-    streams.stream_bloom(stream, state, m=64, merge_every=2).awaitTermination()
+    streams.stream_bloom(stream, state, m=64).awaitTermination()
     first = streams.latest_metrics(spark, state).first()["texts"]
     for i, (a, b) in enumerate([(100, 150), (150, 240)]):
         more = spark.createDataFrame(rows[a:b], "event_id long, text string")
         more.coalesce(1).write.parquet(f"{folder}/part=10{i}")
     again = stream_texts(spark, "event_id long, text string", f"{folder}/*", 1)
-    streams.stream_bloom(again, state, m=64, merge_every=2).awaitTermination()
-    last = streams.latest_metrics(spark, state).first().asDict()
+    streams.stream_bloom(again, state, m=64).awaitTermination()
+    last = streams.latest_metrics(spark, state).drop("at", "bloom_new").first().asDict()
     assert (first, last.pop("texts")) == (100, 240)
     tags = sampling.extract_tags(
         spark.createDataFrame(rows, "event_id long, text string"), "text", ["event_id"]
@@ -140,14 +140,9 @@ def test_stream_goes_on_after_a_restart(spark, source, tmp_path):
 
 def test_batches_can_run_twice(spark, tmp_path):
     """Every batch is run two times, as after a failure just before its commit."""
-    table = GrowingTable(spark, str(tmp_path / "grown"), "tag string", every=3)
-    small = VersionedTable(spark, str(tmp_path / "small"), "n long")
-    expected = set()
-    for batch in range(20):
+    table = VersionedTable(spark, str(tmp_path / "small"), "n long")
+    for batch in range(5):
         for _ in range(2):
-            assert {r[0] for r in table.before(batch).collect()} == expected
-            table.add(batch, spark.createDataFrame([(f"t{batch}",)], "tag string"))
-            old = small.before(batch).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-            small.write(batch, spark.createDataFrame([(old + batch,)], "n long"))
-        expected.add(f"t{batch}")
-    assert small.of(19).first()[0] == sum(range(20))
+            old = table.before(batch).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+            table.write(batch, spark.createDataFrame([(old + batch,)], "n long"))
+    assert table.of(4).first()[0] == sum(range(5))
