@@ -45,6 +45,8 @@ def main(names: list[str]) -> None:
         spark__ui__showConsoleProgress="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
+    # Start the executor's code paths before the clock runs.
+    spark.read.parquet(f"{folder}/nation.parquet").groupBy("n_regionkey").count().collect()
     seconds = {}
     for name in names:
         start = time.perf_counter()

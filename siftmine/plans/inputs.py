@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftmine.operators.features import tokenize_docs
-from siftmine.sources.readers import read_table
+from siftmine.sources.readers import read_table, spread_scan
 
 
 def survey(spark: SparkSession, folder: str) -> DataFrame:
@@ -85,15 +87,20 @@ def order_baskets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def share_of_baskets(rows: DataFrame, share: float) -> int:
+    """The support that stands for ``share`` of the baskets, rounded up."""
+    return math.ceil(rows.agg(F.count_distinct("basket")).first()[0] * share)
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, lang, tokens."""
     docs = read_table(spark, folder, "documents").select("doc_id", "lang", "text")
-    return tokenize_docs(docs, "text").drop("text")
+    return tokenize_docs(spread_scan(docs), "text").drop("text")
 
 
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
     """vec_id, label, features."""
-    return read_table(spark, folder, "embeddings").select(
+    return spread_scan(read_table(spark, folder, "embeddings")).select(
         "vec_id", "label", F.col("embedding").alias("features")
     )
 

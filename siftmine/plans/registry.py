@@ -18,9 +18,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-EVENT_SUPPORT = sql.EVENT_SUPPORT
-ORDER_SUPPORT = sql.ORDER_SUPPORT
-
 
 def query(run: Query) -> Query:
     QUERIES[run.__name__] = run
@@ -139,7 +136,7 @@ def write_delimited(spark, folder):
 @query
 def write_itemset_report(spark, folder):
     path = run_folder(spark, "itemsets")
-    lines = jobs.frequent_itemset_lines(inputs.event_baskets(spark, folder), EVENT_SUPPORT)
+    lines = jobs.frequent_itemset_lines(*_event_baskets(spark, folder))
     writers.write_lines(lines.select("line"), path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
@@ -240,6 +237,16 @@ def als_rmse(spark, folder):
 # Frequent itemsets
 
 
+def _event_baskets(spark, folder):
+    rows = inputs.event_baskets(spark, folder)
+    return rows, inputs.share_of_baskets(rows, sql.EVENT_SHARE)
+
+
+def _order_baskets(spark, folder):
+    rows = inputs.order_baskets(spark, folder)
+    return rows, inputs.share_of_baskets(rows, sql.ORDER_SHARE)
+
+
 def _joined(found: DataFrame) -> DataFrame:
     return found.withColumn("items", F.array_join("items", ","))
 
@@ -251,63 +258,50 @@ def baskets(spark, folder):
 
 @query
 def frequent_itemsets(spark, folder):
-    return _joined(itemsets.frequent_itemsets(inputs.event_baskets(spark, folder), EVENT_SUPPORT))
+    return _joined(itemsets.frequent_itemsets(*_event_baskets(spark, folder)))
 
 
 @query
 def frequent_itemsets_orders(spark, folder):
-    rows = inputs.order_baskets(spark, folder)
-    return _joined(itemsets.frequent_itemsets(rows, ORDER_SUPPORT))
+    return _joined(itemsets.frequent_itemsets(*_order_baskets(spark, folder)))
 
 
 @query
 def son_candidates(spark, folder):
-    rows = inputs.order_baskets(spark, folder)
-    return _joined(itemsets.son_candidates(rows, ORDER_SUPPORT, chunk_baskets=4_000))
+    rows, support = _order_baskets(spark, folder)
+    return _joined(itemsets.son_candidates(rows, support, chunk_baskets=4_000))
 
 
 @query
 def son_itemsets(spark, folder):
-    rows = inputs.order_baskets(spark, folder)
-    return _joined(itemsets.son_itemsets(rows, ORDER_SUPPORT, chunk_baskets=4_000))
+    rows, support = _order_baskets(spark, folder)
+    return _joined(itemsets.son_itemsets(rows, support, chunk_baskets=4_000))
 
 
 @query
 def son_verify(spark, folder):
-    rows = inputs.event_baskets(spark, folder)
-    kinds = rows.select("item").distinct()
-    triples = (
-        kinds.select(F.col("item").alias("a"))
-        .join(kinds.select(F.col("item").alias("b")), F.col("a") < F.col("b"))
-        .join(kinds.select(F.col("item").alias("c")), F.col("b") < F.col("c"))
-        .select(F.array("a", "b", "c").alias("items"))
-    )
-    return _joined(itemsets.son_verify(rows, triples, EVENT_SUPPORT))
-
-
-def _level(spark, folder, size):
-    rows = inputs.order_baskets(spark, folder)
-    level = itemsets.frequent_items(rows, ORDER_SUPPORT).select(F.array("item").alias("items"))
-    for grown in range(2, size + 1):
-        level = itemsets.apriori_level(rows, level, grown, ORDER_SUPPORT)
-    return _joined(level)
+    rows, support = _event_baskets(spark, folder)
+    found = itemsets.son_candidates(rows, support, chunk_baskets=8)
+    return _joined(itemsets.son_verify(rows, found.filter(F.size("items") == 3), support))
 
 
 @query
 def apriori_level_2(spark, folder):
-    return _level(spark, folder, 2)
+    rows, support = _order_baskets(spark, folder)
+    single = itemsets.frequent_items(rows, support).select(F.array("item").alias("items"))
+    return _joined(itemsets.apriori_level(rows, single, 2, support))
 
 
 @query
 def apriori_level_3(spark, folder):
-    rows = inputs.event_baskets(spark, folder)
-    pairs = itemsets.frequent_itemsets(rows, EVENT_SUPPORT).filter(F.col("size") == 2)
-    return _joined(itemsets.apriori_level(rows, pairs, 3, EVENT_SUPPORT))
+    rows, support = _event_baskets(spark, folder)
+    pairs = itemsets.frequent_itemsets(rows, support).filter(F.col("size") == 2)
+    return _joined(itemsets.apriori_level(rows, pairs, 3, support))
 
 
 @query
 def itemset_report(spark, folder):
-    return jobs.frequent_itemset_lines(inputs.event_baskets(spark, folder), EVENT_SUPPORT)
+    return jobs.frequent_itemset_lines(*_event_baskets(spark, folder))
 
 
 # Text features and clustering
@@ -415,6 +409,7 @@ def cluster_terms(spark, folder):
 def _labelled(spark, folder):
     """doc_id, cluster, features, tokens: labelled documents with their length as feature."""
     docs = readers.read_table(spark, folder, "documents").select("doc_id", "text", "n_chars")
+    docs = readers.spread_scan(docs)
     labels = readers.read_table(spark, folder, "labels")
     return features.tokenize_docs(docs, "text").join(labels, "doc_id").select(
         "doc_id",

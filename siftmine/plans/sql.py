@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 # Parameters shared by the queries and their SQL.
-EVENT_SUPPORT = 200
-ORDER_SUPPORT = 60
+EVENT_SHARE = 0.05  # support as share of the baskets, so that it grows with the data
+ORDER_SHARE = 0.004
 EVENT_TYPES = 5
 K = 8
 ITERS = 3
@@ -107,8 +107,9 @@ rows AS (
   FROM lineitem)"""
 
 
-def _itemsets(baskets: str, support: int, sizes: range) -> str:
+def _itemsets(baskets: str, share: float, sizes: range) -> str:
     """CTE ``found`` with all itemsets of the given sizes."""
+    support = f"(SELECT ceil(count(DISTINCT basket) * CAST({share} AS DOUBLE)) FROM rows)"
     parts = []
     for size in sizes:
         names = [f"r{i}" for i in range(1, size + 1)]
@@ -124,8 +125,8 @@ def _itemsets(baskets: str, support: int, sizes: range) -> str:
     return f"{baskets},\nfound AS (\n  " + "\n  UNION ALL ".join(parts) + ")"
 
 
-EVENT_ITEMSETS = _itemsets(EVENT_BASKETS, EVENT_SUPPORT, range(1, EVENT_TYPES + 1))
-ORDER_ITEMSETS = _itemsets(ORDER_BASKETS, ORDER_SUPPORT, range(1, 4))
+EVENT_ITEMSETS = _itemsets(EVENT_BASKETS, EVENT_SHARE, range(1, EVENT_TYPES + 1))
+ORDER_ITEMSETS = _itemsets(ORDER_BASKETS, ORDER_SHARE, range(1, 4))
 
 TOKENS = """
 tokens AS (
