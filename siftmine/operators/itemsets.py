@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 
 from siftmine.operators.ids import ordered_index
 from siftmine.operators.skew import ROWS_PER_TASK, HotKeys, salted_join, settle
+from siftmine.sources.readers import spread_scan
 
 # Distinct baskets that one task mines in memory.
 CHUNK_BASKETS = 100_000
 ITEMSETS_PER_LINE = 10_000
+# More candidates than this are not sent to every task but joined.
+MAX_SENT_CANDIDATES = 50_000
 
 _ITEMSET = "array<string>"
 
@@ -74,7 +77,7 @@ def frequent_itemsets(rows: DataFrame, support: int, partitions: int | None = No
 
     ``rows`` holds (basket, item).
     """
-    pruned = settle(pruned_baskets(rows, support), "baskets")
+    pruned = spread_scan(settle(pruned_baskets(rows, support), "baskets"))
     total = pruned.count()
     if not total:
         return rows.sparkSession.createDataFrame([], f"items {_ITEMSET}, size int, freq long")
@@ -87,20 +90,29 @@ def frequent_itemsets(rows: DataFrame, support: int, partitions: int | None = No
     return _shape(sets.filter(F.col("freq") >= support))
 
 
+def _holders(sets: list[list[str]]) -> dict[str, np.ndarray]:
+    """The baskets of every item, by their place in ``sets``."""
+    places: dict[str, list[int]] = {}
+    for place, items in enumerate(sets):
+        for item in items:
+            places.setdefault(item, []).append(place)
+    return {item: np.array(found) for item, found in places.items()}
+
+
+def _both(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return np.intersect1d(left, right, assume_unique=True)
+
+
 def _local_levels(
     sets: list[list[str]], weights: np.ndarray, threshold: float, max_size: int | None
 ) -> Iterator[tuple[str, ...]]:
     """Itemsets of one chunk whose weight reaches ``threshold``, level by level."""
-    holders: dict[str, list[int]] = {}
-    for row, items in enumerate(sets):
-        for item in items:
-            holders.setdefault(item, []).append(row)
+    holders = _holders(sets)
     names = sorted(holders)
     level = {}
     for i, name in enumerate(names):
-        in_baskets = np.array(holders[name])
-        if weights[in_baskets].sum() >= threshold:
-            level[(i,)] = in_baskets
+        if weights[holders[name]].sum() >= threshold:
+            level[(i,)] = holders[name]
     single = dict(level)
     while level:
         yield from (tuple(names[i] for i in key) for key in level)
@@ -116,9 +128,7 @@ def _local_levels(
                 key = (*prefix, low, high)
                 if any(key[:j] + key[j + 1 :] not in level for j in range(size - 2)):
                     continue
-                both = np.intersect1d(
-                    level[(*prefix, low)], single[(high,)], assume_unique=True
-                )
+                both = _both(level[(*prefix, low)], single[(high,)])
                 if weights[both].sum() >= threshold:
                     grown[key] = both
         level = grown
@@ -167,28 +177,67 @@ def son_candidates(
     return spread.mapInArrow(mine, f"items {_ITEMSET}").distinct()
 
 
-def son_verify(
-    rows: DataFrame,
-    candidates: DataFrame,
-    support: int,
-    weighted: DataFrame | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
+def _local_counts(
+    candidates: list[tuple[str, ...]], sets: list[list[str]], weights: np.ndarray
+) -> Iterator[tuple[int, int]]:
+    """(number of the candidate, weight of the baskets that hold it) where not 0.
+
+    Sorted candidates share the baskets of their common first items.
+    """
+    holders = _holders(sets)
+    none = np.array([], dtype=np.int64)
+    path: list[tuple[str, np.ndarray]] = []
+    for number, items in enumerate(candidates):
+        shared = 0
+        while shared < min(len(path), len(items)) and path[shared][0] == items[shared]:
+            shared += 1
+        del path[shared:]
+        for item in items[shared:]:
+            own = holders.get(item, none)
+            path.append((item, _both(path[-1][1], own) if path else own))
+        held = path[-1][1]
+        if len(held):
+            yield number, int(weights[held].sum())
+
+
+def _count_in_tasks(weighted: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(items, freq): every task counts all candidates over its own baskets."""
+    listed = sorted(tuple(row["items"]) for row in candidates.collect())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            weights = batch.column("weight").to_numpy(zero_copy_only=False)
+            found = list(_local_counts(listed, batch.column("items").to_pylist(), weights))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "number": pa.array([n for n, _ in found], pa.int32()),
+                    "freq": pa.array([w for _, w in found], pa.int64()),
+                }
+            )
+
+    spark = weighted.sparkSession
+    numbered = spark.createDataFrame(
+        [(n, list(items)) for n, items in enumerate(listed)], f"number int, items {_ITEMSET}"
+    )
+    counts = spread_scan(weighted).mapInArrow(count, "number int, freq long")
+    return numbered.join(counts.groupBy("number").agg(F.sum("freq").alias("freq")), "number")
+
+
+def _count_by_join(
+    weighted: DataFrame, candidates: DataFrame, support: int, rows_per_task: int
 ) -> DataFrame:
-    """(items, size, freq) of the candidates in at least ``support`` baskets, counted exactly.
+    """(items, freq): a candidate meets only the baskets that hold its rarest item.
 
-    A candidate meets only those baskets that hold its rarest item, and is then
-    tested against the whole basket in that row.
+    It is then tested against the whole basket in that row.
     """
-    weighted = weighted_baskets(rows, support) if weighted is None else weighted
     counts = settle(
         weighted.select(F.explode("items").alias("item"), "weight")
         .groupBy("item")
         .agg(F.sum("weight").alias("freq"), F.count(F.lit(1)).alias("n")),
         "item-counts",
     )
-    wanted = candidates.select(F.col("items").alias("candidate")).distinct()
     anchored = (
-        wanted.select("candidate", F.explode("candidate").alias("item"))
+        candidates.select(F.col("items").alias("candidate"), F.explode("items").alias("item"))
         .join(counts, "item", "left")
         .groupBy("candidate")
         .agg(F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "item")).alias("_rarest"))
@@ -199,11 +248,29 @@ def son_verify(
     hot = HotKeys(counts, "item", rows_per_task=rows_per_task)
     met = salted_join(members, anchored, hot, ["items"])
     held = met.filter(F.size(F.array_except("candidate", "items")) == 0)
-    return _shape(
-        held.groupBy(F.col("candidate").alias("items"))
-        .agg(F.sum("weight").alias("freq"))
-        .filter(F.col("freq") >= support)
-    )
+    return held.groupBy(F.col("candidate").alias("items")).agg(F.sum("weight").alias("freq"))
+
+
+def son_verify(
+    rows: DataFrame,
+    candidates: DataFrame,
+    support: int,
+    weighted: DataFrame | None = None,
+    max_sent: int = MAX_SENT_CANDIDATES,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> DataFrame:
+    """(items, size, freq) of the candidates in at least ``support`` baskets, counted exactly.
+
+    Up to ``max_sent`` candidates go to every task; more are joined with the baskets.
+    """
+    weighted = weighted_baskets(rows, support) if weighted is None else weighted
+    candidates = candidates.select(F.array_sort("items").alias("items")).distinct()
+    candidates = settle(candidates, "candidates")
+    if candidates.count() <= max_sent:
+        counted = _count_in_tasks(weighted, candidates)
+    else:
+        counted = _count_by_join(weighted, candidates, support, rows_per_task)
+    return _shape(counted.filter(F.col("freq") >= support))
 
 
 def son_itemsets(

@@ -87,8 +87,9 @@ def test_hot_items_are_split(frame, spark):
     wanted = spark.createDataFrame(
         [(list(k),) for k in _brute(rows, 3)] + [(["missing", "1"],)], "items array<string>"
     )
-    found = itemsets.son_verify(frame(rows), wanted, 5, weighted, rows_per_task=4)
-    assert _found(found) == _brute(rows, 5)
+    for max_sent in (0, 50_000):
+        found = itemsets.son_verify(frame(rows), wanted, 5, weighted, max_sent, rows_per_task=4)
+        assert _found(found) == _brute(rows, 5)
 
 
 def test_report_layout(spark, frame, rows):
