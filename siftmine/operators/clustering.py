@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-MAX_CENTROID_BYTES = 512 << 20
+MAX_CENTROID_BYTES = 128 << 20
 
 _COUNT, _COST = -1, -2  # coordinates under which partial sums carry size and cost
 

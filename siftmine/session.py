@@ -49,5 +49,9 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def run_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name under the shared folder for one run of one job."""
-    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new folder name for one use, below one folder per application.
+
+    The application's folder may be deleted once the application has ended.
+    """
+    application = f"siftmine-{spark.sparkContext.applicationId}"
+    return f"{shared_folder(spark)}/{application}/{purpose}-{uuid.uuid4().hex}"

@@ -146,3 +146,29 @@ def test_batches_can_run_twice(spark, tmp_path):
             old = table.before(batch).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
             table.write(batch, spark.createDataFrame([(old + batch,)], "n long"))
     assert table.of(4).first()[0] == sum(range(5))
+
+
+def test_failed_batch_runs_again(spark, source, tmp_path, monkeypatch):
+    """A batch that fails after writing its figures is run again with the same result."""
+    rows = _texts(6)
+    folder, stream = source(rows, [80, 80, 80])
+    state = str(tmp_path / "state")
+    real, calls = streams.audit_figures, []
+
+    def failing(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return real(*args)
+
+    monkeypatch.setattr(streams, "audit_figures", failing)
+    with pytest.raises(Exception, match="lost"):
+        streams.stream_bloom(stream, state, m=64).awaitTermination()
+    again = stream_texts(spark, "event_id long, text string", f"{folder}/*", 1)
+    streams.stream_bloom(again, state, m=64).awaitTermination()
+    last = streams.latest_metrics(spark, state).drop("at", "bloom_new").first().asDict()
+    assert last.pop("texts") == 240
+    tags = sampling.extract_tags(
+        spark.createDataFrame(rows, "event_id long, text string"), "text", ["event_id"]
+    )
+    assert last == membership.bloom_audit(tags, ["event_id", "pos"], 64).first().asDict()
