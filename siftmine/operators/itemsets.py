@@ -52,11 +52,11 @@ def pruned_baskets(
     rows: DataFrame, support: int, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """(basket, items): the sorted frequent items of each basket that has any."""
-    unique = rows.select("basket", F.col("item").cast("string").alias("item")).distinct()
-    keep = settle(frequent_items(unique, support), "frequent-items")
+    rows = rows.select("basket", F.col("item").cast("string").alias("item"))
+    keep = settle(frequent_items(rows, support), "frequent-items")
     hot = HotKeys(keep, "item", rows_per_task=rows_per_task)
-    kept = salted_join(unique, keep.select("item"), hot, ["basket"])
-    return kept.groupBy("basket").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    # The set drops repeated rows within every task, before baskets are brought together.
+    return baskets(salted_join(rows, keep.select("item"), hot, ["basket"]), "basket", "item")
 
 
 def weighted_baskets(

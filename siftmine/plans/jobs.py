@@ -97,7 +97,7 @@ def neighbour_ratings(
     )
 
 
-def frequent_itemset_lines(rows: DataFrame, support: int, method: str = "growth") -> DataFrame:
+def frequent_itemset_lines(rows: DataFrame, support: int, method: str = "son") -> DataFrame:
     """The report lines of all itemsets with at least ``support`` baskets."""
     if method not in ("growth", "son"):
         raise ValueError("method must be 'growth' or 'son'")

