@@ -92,13 +92,24 @@ def audit_figures(
 def bloom_audit(
     tags: DataFrame, order: list[str], m: int = BITS, legacy: bool = False
 ) -> DataFrame:
-    """One row: how the filter's answers compare with exact ones over all occurrences."""
-    firsts = first_seen(tags, order)
-    totals = firsts.agg(
+    """One row: how the filter's answers compare with exact ones over all occurrences.
+
+    Every tag gives one row for each of its bits and one, under the null bit,
+    that carries its counts, so a single pass over the tags yields all figures.
+    """
+    h1, h2 = (position.alias("bit") for position in bit_positions(F.col("tag"), m, legacy))
+    none, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    entries = F.array(
+        F.struct(F.lit(None).cast("int").alias("bit"), F.col("n"), one.alias("tags")),
+        *[F.struct(bit, none.alias("n"), none.alias("tags")) for bit in (h1, h2)],
+    )
+    rows = first_seen(tags, order).select("first.*", F.inline(entries))
+    per_bit = _first(rows, "bit", order, F.sum("n").alias("n"), F.sum("tags").alias("tags"))
+    totals = per_bit.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("occurrences"),
-        F.count(F.lit(1)).alias("distinct_tags"),
+        F.coalesce(F.sum("tags"), F.lit(0)).alias("distinct_tags"),
+        F.count_distinct(F.when(F.col("bit").isNotNull(), F.col("first"))).alias("bloom_new"),
     )
-    bloom_new = first_set(firsts, m, legacy).agg(F.count_distinct("first")).scalar()
     return totals.select(
-        *audit_figures(F.col("occurrences"), F.col("distinct_tags"), bloom_new)
+        *audit_figures(F.col("occurrences"), F.col("distinct_tags"), F.col("bloom_new"))
     )
