@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftmine.llm import exact_dedup, mixing, sharding
+from siftmine.llm import exact_dedup, mixing, packing, sharding, token_counts
 from siftmine.sources.readers import read_table as table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,12 @@ def op3_exact_dedup(spark, folder):
     return exact_dedup.new_index(spark, docs.count()).add(docs)
 
 
+@query
+def op5_token_counts(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.with_token_counts(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
 @query
 def op6_source_mix(spark, folder):
     order = mixing.mix_order(table(spark, folder, "documents"))
@@ -52,6 +58,13 @@ def op8_uniform_shards(spark, folder):
     )
 
 
+@query
+def op9_best_fit_packing(spark, folder):
+    pieces = packing.token_pieces(table(spark, folder, "documents"))
+    digested = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.pack(digested, ["doc_id", "piece"])
+
+
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": r"""
         WITH d AS (
