@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftmine.llm import exact_dedup, mixing, packing, sharding, token_counts
+from siftmine.llm import exact_dedup, mixing, near_dedup, packing, sharding, token_counts
 from siftmine.sources.readers import read_table as table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,11 @@ def op6_source_mix(spark, folder):
     return order.withColumn("rate", F.round("rate", 9))
 
 
+@query
+def op7_near_duplicates(spark, folder):
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
 @query
 def op8_uniform_shards(spark, folder):
     docs = table(spark, folder, "documents")
