@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftmine.llm import exact_dedup, mixing, near_dedup, packing, sharding, token_counts
+from siftmine.llm import exact_dedup, language_id, license_scan, mixing, near_dedup, packing, sharding, token_counts
 from siftmine.sources.readers import read_table as table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,13 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op2_language_id(spark, folder):
+    docs = table(spark, folder, "documents").withColumn("held_out", language_id.held_out())
+    model = language_id.fit(docs.filter("not held_out"))
+    return language_id.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 @query
 def op3_exact_dedup(spark, folder):
     docs = table(spark, folder, "documents")
@@ -70,6 +77,12 @@ def op9_best_fit_packing(spark, folder):
     return packing.pack(digested, ["doc_id", "piece"])
 
 
+@query
+def op10_license_scan(spark, folder):
+    found = license_scan.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", *[c.alias(n) for n, c in license_scan.label_columns().items()])
+
+
 ORACLE: dict[str, str] = {
     "op3_exact_dedup": r"""
         WITH d AS (
