@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftmine.llm import exact_dedup, language_id, license_scan, mixing, near_dedup, packing, sharding, token_counts
+from siftmine.llm import exact_dedup, exact_topk, language_id, license_scan, mixing, near_dedup, packing, sharding, token_counts
 from siftmine.sources.readers import read_table as table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,12 @@ def query(run: Query) -> Query:
     return run
 
 
+@query
+def op1_exact_topk(spark, folder):
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return exact_topk.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
 @query
 def op2_language_id(spark, folder):
     docs = table(spark, folder, "documents").withColumn("held_out", language_id.held_out())
@@ -84,6 +90,21 @@ def op10_license_scan(spark, folder):
 
 
 ORACLE: dict[str, str] = {
+    "op1_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+        )
+        SELECT query_id, vec_id, score,
+               row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank
+        FROM s QUALIFY rank <= 10
+    """,
     "op3_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS h
