@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftmine.llm import exact_dedup, exact_topk, language_id, license_scan, mixing, near_dedup, packing, sharding, token_counts
+from siftmine.llm import exact_dedup, exact_topk, language_id, license_scan, mixing, near_dedup, packing, quality, sharding, token_counts
 from siftmine.sources.readers import read_table as table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,13 @@ def op3_exact_dedup(spark, folder):
     return exact_dedup.new_index(spark, docs.count()).add(docs)
 
 
+@query
+def op4_quality_classifier(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    judged = quality.judge(docs, table(spark, folder, "labels"))
+    return judged.select("doc_id", "lang", "perplexity", "max_perplexity", "kept")
+
+
 @query
 def op5_token_counts(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
