@@ -40,17 +40,33 @@ def _characters(text: Column) -> Column:
     return F.filter(F.split(text, ""), lambda c: c != "")
 
 
+def _utf16_units(text: Column) -> Column:
+    """The 16-bit units of the text; a character beyond the basic plane has two."""
+
+    def units(c: Column) -> Column:
+        code = F.ascii(c).cast("long")
+        beyond = code - 65536
+        pair = F.array(F.floor(beyond / 1024) + 55296, beyond % 1024 + 56320)
+        return F.when(code > 65535, pair).otherwise(F.array(code))
+
+    return F.flatten(F.transform(_characters(text), units))
+
+
 def java_string_hash(text: Column) -> Column:
-    """The JVM's 32-bit string hash, for text within the basic multilingual plane."""
-    codes = F.transform(_characters(text), lambda c: F.ascii(c).cast("long"))
-    unsigned = F.aggregate(codes, F.lit(0).cast("long"), lambda h, c: (h * 31 + c) % _WORD)
+    """The JVM's 32-bit string hash."""
+    zero = F.lit(0).cast("long")
+    unsigned = F.aggregate(_utf16_units(text), zero, lambda h, c: (h * 31 + c) % _WORD)
     return F.when(unsigned >= _HALF_WORD, unsigned - _WORD).otherwise(unsigned)
 
 
-def character_sum(text: Column, weight: int = 67) -> Column:
-    """Sum of ``weight`` times the code of every character."""
-    codes = F.transform(_characters(text), lambda c: F.ascii(c).cast("long"))
-    return F.aggregate(codes, F.lit(0).cast("long"), lambda total, c: total + c * weight)
+# Fixed value: weight of a character in the second legacy hash.
+CHARACTER_WEIGHT = 67
+
+
+def character_sum(text: Column, weight: int = CHARACTER_WEIGHT) -> Column:
+    """Sum of ``weight`` times the code of every 16-bit unit."""
+    zero = F.lit(0).cast("long")
+    return F.aggregate(_utf16_units(text), zero, lambda total, c: total + c * weight)
 
 
 def digest_word(text: Column, which: int) -> Column:

@@ -1,7 +1,8 @@
 """K-Means by explicit steps, the MLlib estimators, and cluster reports.
 
 Feature columns hold number arrays or ``pyspark.ml`` vectors. Centroids live on
-the driver as a k x d array; their size is checked before they go to the tasks.
+the driver as a k x d array, and go to the tasks without the coordinates that
+are 0 in all of them.
 
 Deviations from the usual classroom form: documents are assigned on the same
 features as the fit used, exactly ``iters`` updates run, an empty cluster
@@ -24,16 +25,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-MAX_CENTROID_BYTES = 128 << 20
-
 _COUNT, _COST = -1, -2  # coordinates under which partial sums carry size and cost
 
 
-def _checked(centroids) -> np.ndarray:
-    centres = np.asarray(centroids, dtype=np.float64)
-    if centres.nbytes > MAX_CENTROID_BYTES:
-        raise ValueError("centroids exceed the size that may be sent to every task")
-    return centres
+def _numbers(centroids) -> np.ndarray:
+    return np.asarray(centroids, dtype=np.float64)
 
 
 class _Block:
@@ -127,7 +123,7 @@ def kmeans_assign(
     df: DataFrame, centroids, features: str = "features", decimals: int = 9
 ) -> DataFrame:
     """Add ``cluster`` and ``sqdist``: the nearest centroid and the squared distance to it."""
-    centres = _Centres(_checked(centroids))
+    centres = _Centres(_numbers(centroids))
 
     @F.arrow_udf("cluster int, sqdist double")
     def nearest(column: pa.Array) -> pa.Array:
@@ -148,7 +144,7 @@ def distance_to_cluster(
     df: DataFrame, centroids, features: str = "features", cluster: str = "cluster"
 ) -> DataFrame:
     """Add ``sqdist`` to the centroid of the cluster a row already has."""
-    centres = _Centres(_checked(centroids))
+    centres = _Centres(_numbers(centroids))
 
     @F.arrow_udf("double")
     def distance(column: pa.Array, label: pa.Array) -> pa.Array:
@@ -202,7 +198,7 @@ def centroid_array(rows: DataFrame, features: str = "features") -> np.ndarray:
 
 def kmeans_update(assigned: DataFrame, centroids, features: str = "features") -> DataFrame:
     """(cluster, n, centroid): the mean of each cluster; an empty one keeps its centroid."""
-    centres = _checked(centroids)
+    centres = _numbers(centroids)
     is_vector = isinstance(assigned.schema[features].dataType, VectorUDT)
     vector: Column = F.col(features) if is_vector else array_to_vector(F.col(features))
     means = assigned.groupBy("cluster").agg(
@@ -273,7 +269,7 @@ def kmeans_lloyd(
     """
     data = df.select(id_col, features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        centres = _checked(centroid_array(kmeans_seed(data, id_col, k, seed, features), features))
+        centres = _numbers(centroid_array(kmeans_seed(data, id_col, k, seed, features), features))
         costs: list[float] = []
         for _ in range(iters):
             moved, cost = _step(data.select(features), centres, decimals)

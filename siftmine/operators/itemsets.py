@@ -18,14 +18,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftmine.operators.ids import ordered_index
-from siftmine.operators.skew import ROWS_PER_TASK, HotKeys, salted_join, settle
-from siftmine.sources.readers import spread_scan
+from siftmine.operators.skew import settle
 
 # Distinct baskets that one task mines in memory.
 CHUNK_BASKETS = 100_000
-ITEMSETS_PER_LINE = 10_000
-# More candidates than this are not sent to every task but joined.
-MAX_SENT_CANDIDATES = 50_000
+# The support within a chunk stays at least this high, else a chunk would list nearly all subsets.
+LEAST_CHUNK_SUPPORT = 10
 
 _ITEMSET = "array<string>"
 
@@ -48,22 +46,17 @@ def frequent_items(rows: DataFrame, support: int) -> DataFrame:
     )
 
 
-def pruned_baskets(
-    rows: DataFrame, support: int, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def pruned_baskets(rows: DataFrame, support: int) -> DataFrame:
     """(basket, items): the sorted frequent items of each basket that has any."""
     rows = rows.select("basket", F.col("item").cast("string").alias("item"))
-    keep = settle(frequent_items(rows, support), "frequent-items")
-    hot = HotKeys(keep, "item", rows_per_task=rows_per_task)
+    keep = frequent_items(rows, support).select("item")
     # The set drops repeated rows within every task, before baskets are brought together.
-    return baskets(salted_join(rows, keep.select("item"), hot, ["basket"]), "basket", "item")
+    return baskets(rows.join(keep, "item"), "basket", "item")
 
 
-def weighted_baskets(
-    rows: DataFrame, support: int, rows_per_task: int = ROWS_PER_TASK
-) -> DataFrame:
+def weighted_baskets(rows: DataFrame, support: int) -> DataFrame:
     """(items, weight): distinct baskets of frequent items, with their number."""
-    pruned = pruned_baskets(rows, support, rows_per_task)
+    pruned = pruned_baskets(rows, support)
     counted = pruned.groupBy("items").agg(F.count(F.lit(1)).alias("weight"))
     return settle(counted, "baskets")
 
@@ -77,7 +70,7 @@ def frequent_itemsets(rows: DataFrame, support: int, partitions: int | None = No
 
     ``rows`` holds (basket, item).
     """
-    pruned = spread_scan(settle(pruned_baskets(rows, support), "baskets"))
+    pruned = settle(pruned_baskets(rows, support), "baskets")
     total = pruned.count()
     if not total:
         return rows.sparkSession.createDataFrame([], f"items {_ITEMSET}, size int, freq long")
@@ -90,7 +83,7 @@ def frequent_itemsets(rows: DataFrame, support: int, partitions: int | None = No
     return _shape(sets.filter(F.col("freq") >= support))
 
 
-def _holders(sets: list[list[str]]) -> dict[str, np.ndarray]:
+def _places(sets: list[list[str]]) -> dict[str, np.ndarray]:
     """The baskets of every item, by their place in ``sets``."""
     places: dict[str, list[int]] = {}
     for place, items in enumerate(sets):
@@ -107,7 +100,7 @@ def _local_levels(
     sets: list[list[str]], weights: np.ndarray, threshold: float, max_size: int | None
 ) -> Iterator[tuple[str, ...]]:
     """Itemsets of one chunk whose weight reaches ``threshold``, level by level."""
-    holders = _holders(sets)
+    holders = _places(sets)
     names = sorted(holders)
     level = {}
     for i, name in enumerate(names):
@@ -144,13 +137,18 @@ def son_candidates(
     """(items): itemsets frequent in some chunk of the baskets, at a proportional support.
 
     An itemset that is frequent overall reaches its share of the support in at
-    least one chunk, so none is missed; ``son_verify`` removes the rest.
+    least one chunk, so none is missed; ``son_verify`` removes the rest. If the
+    support does not allow chunks of ``chunk_baskets``, because their share of
+    it would be too low, the frequent itemsets themselves are the candidates.
     """
     weighted = weighted_baskets(rows, support) if weighted is None else weighted
     size = weighted.agg(
         F.count(F.lit(1)).alias("sets"), F.coalesce(F.sum("weight"), F.lit(0)).alias("n")
     ).first()
     chunks = max(1, -(-size["sets"] // chunk_baskets))
+    if support < LEAST_CHUNK_SUPPORT * chunks:
+        found = frequent_itemsets(rows, support)
+        return (found if max_size is None else found.filter(F.col("size") <= max_size)).select("items")
     share = support / max(1, size["n"])
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,99 +175,38 @@ def son_candidates(
     return spread.mapInArrow(mine, f"items {_ITEMSET}").distinct()
 
 
-def _local_counts(
-    candidates: list[tuple[str, ...]], sets: list[list[str]], weights: np.ndarray
-) -> Iterator[tuple[int, int]]:
-    """(number of the candidate, weight of the baskets that hold it) where not 0.
+def _item_counts(weighted: DataFrame) -> DataFrame:
+    """(item, freq): the baskets of every item."""
+    counts = weighted.select(F.explode("items").alias("item"), "weight").groupBy("item")
+    return settle(counts.agg(F.sum("weight").alias("freq")), "item-counts")
 
-    Sorted candidates share the baskets of their common first items.
-    """
-    holders = _holders(sets)
-    none = np.array([], dtype=np.int64)
-    path: list[tuple[str, np.ndarray]] = []
-    for number, items in enumerate(candidates):
-        shared = 0
-        while shared < min(len(path), len(items)) and path[shared][0] == items[shared]:
-            shared += 1
-        del path[shared:]
-        for item in items[shared:]:
-            own = holders.get(item, none)
-            path.append((item, _both(path[-1][1], own) if path else own))
-        held = path[-1][1]
-        if len(held):
-            yield number, int(weights[held].sum())
-
-
-def _count_in_tasks(weighted: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(items, freq): every task counts all candidates over its own baskets."""
-    listed = sorted(tuple(row["items"]) for row in candidates.collect())
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            weights = batch.column("weight").to_numpy(zero_copy_only=False)
-            found = list(_local_counts(listed, batch.column("items").to_pylist(), weights))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "number": pa.array([n for n, _ in found], pa.int32()),
-                    "freq": pa.array([w for _, w in found], pa.int64()),
-                }
-            )
-
-    spark = weighted.sparkSession
-    numbered = spark.createDataFrame(
-        [(n, list(items)) for n, items in enumerate(listed)], f"number int, items {_ITEMSET}"
-    )
-    counts = spread_scan(weighted).mapInArrow(count, "number int, freq long")
-    return numbered.join(counts.groupBy("number").agg(F.sum("freq").alias("freq")), "number")
 
+def _holders(weighted: DataFrame, sets: DataFrame, counts: DataFrame) -> DataFrame:
+    """(candidate, items, weight): each set with the baskets that hold all of it.
 
-def _count_by_join(
-    weighted: DataFrame, candidates: DataFrame, support: int, rows_per_task: int
-) -> DataFrame:
-    """(items, freq): a candidate meets only the baskets that hold its rarest item.
-
-    It is then tested against the whole basket in that row.
+    A set meets only the baskets that hold its rarest item, and is then tested
+    against the whole basket in that row.
     """
-    counts = settle(
-        weighted.select(F.explode("items").alias("item"), "weight")
-        .groupBy("item")
-        .agg(F.sum("weight").alias("freq"), F.count(F.lit(1)).alias("n")),
-        "item-counts",
-    )
     anchored = (
-        candidates.select(F.col("items").alias("candidate"), F.explode("items").alias("item"))
+        sets.select(F.col("items").alias("candidate"), F.explode("items").alias("item"))
         .join(counts, "item", "left")
         .groupBy("candidate")
         .agg(F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "item")).alias("_rarest"))
-        .filter(F.col("_rarest.freq") >= support)
         .select("candidate", F.col("_rarest.item").alias("item"))
     )
     members = weighted.select(F.explode("items").alias("item"), "items", "weight")
-    hot = HotKeys(counts, "item", rows_per_task=rows_per_task)
-    met = salted_join(members, anchored, hot, ["items"])
-    held = met.filter(F.size(F.array_except("candidate", "items")) == 0)
-    return held.groupBy(F.col("candidate").alias("items")).agg(F.sum("weight").alias("freq"))
+    met = members.join(anchored, "item")
+    return met.filter(F.size(F.array_except("candidate", "items")) == 0).drop("item")
 
 
 def son_verify(
-    rows: DataFrame,
-    candidates: DataFrame,
-    support: int,
-    weighted: DataFrame | None = None,
-    max_sent: int = MAX_SENT_CANDIDATES,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows: DataFrame, candidates: DataFrame, support: int, weighted: DataFrame | None = None
 ) -> DataFrame:
-    """(items, size, freq) of the candidates in at least ``support`` baskets, counted exactly.
-
-    Up to ``max_sent`` candidates go to every task; more are joined with the baskets.
-    """
+    """(items, size, freq) of the candidates in at least ``support`` baskets, counted exactly."""
     weighted = weighted_baskets(rows, support) if weighted is None else weighted
-    candidates = candidates.select(F.array_sort("items").alias("items")).distinct()
-    candidates = settle(candidates, "candidates")
-    if candidates.count() <= max_sent:
-        counted = _count_in_tasks(weighted, candidates)
-    else:
-        counted = _count_by_join(weighted, candidates, support, rows_per_task)
+    candidates = settle(candidates.select(F.array_sort("items").alias("items")).distinct(), "candidates")
+    held = _holders(weighted, candidates, _item_counts(weighted))
+    counted = held.groupBy(F.col("candidate").alias("items")).agg(F.sum("weight").alias("freq"))
     return _shape(counted.filter(F.col("freq") >= support))
 
 
@@ -282,40 +219,50 @@ def son_itemsets(
     return son_verify(rows, found, support, weighted=weighted)
 
 
-def apriori_level(
-    rows: DataFrame, prev: DataFrame, size: int, support: int, chunk_baskets: int = CHUNK_BASKETS
-) -> DataFrame:
+def apriori_level(rows: DataFrame, prev: DataFrame, size: int, support: int) -> DataFrame:
     """Frequent itemsets of ``size`` items, given those of ``size - 1`` in ``prev`` (items).
 
-    Candidates come from the chunks; one with a part that is not in ``prev``
-    is dropped before counting.
+    A set of ``prev`` grows by one later item of a basket that holds it, so a
+    candidate is formed only where it occurs and is counted as it is formed.
+    One with a part that is not in ``prev`` is dropped.
     """
     weighted = weighted_baskets(rows, support)
-    found = son_candidates(rows, support, chunk_baskets, max_size=size, weighted=weighted)
-    found = found.filter(F.size("items") == size)
-    if size > 1:
-        parts = found.select(
-            "items",
-            F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("_left_out"),
-        ).select(
-            F.col("items").alias("candidate"),
-            F.filter("items", lambda item, i: i != F.col("_left_out")).alias("items"),
-        )
-        found = (
-            parts.join(prev.select("items").distinct(), "items", "left_semi")
-            .groupBy("candidate")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") == size)
-            .select(F.col("candidate").alias("items"))
-        )
-    return son_verify(rows, found, support, weighted=weighted)
+    if size == 1:
+        single = _item_counts(weighted).select(F.array("item").alias("items"), "freq")
+        return _shape(single.filter(F.col("freq") >= support))
+    prev = settle(prev.select(F.array_sort("items").alias("items")).distinct(), "level-before")
+    held = _holders(weighted, prev, _item_counts(weighted))
+    later = F.filter("items", lambda item: item > F.element_at("candidate", -1))
+    grown = held.select("candidate", F.explode(later).alias("_next"), "weight")
+    counted = (
+        grown.groupBy("candidate", "_next")
+        .agg(F.sum("weight").alias("freq"))
+        .filter(F.col("freq") >= support)
+        .select(F.concat("candidate", F.array("_next")).alias("items"), "freq")
+    )
+    parts = counted.select(
+        F.col("items").alias("candidate"),
+        "freq",
+        F.explode(F.sequence(F.lit(0), F.lit(size - 1))).alias("_left_out"),
+    ).select(
+        "candidate",
+        "freq",
+        F.filter("candidate", lambda item, i: i != F.col("_left_out")).alias("items"),
+    )
+    whole = (
+        parts.join(prev, "items", "left_semi")
+        .groupBy("candidate", "freq")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") == size)
+    )
+    return _shape(whole.select(F.col("candidate").alias("items"), "freq"))
 
 
-def itemset_report(itemsets: DataFrame, per_line: int = ITEMSETS_PER_LINE) -> DataFrame:
-    """(size, line_no, line): itemsets as ``(a, b), (a, c)``, by size, sorted as text.
+def itemset_report(itemsets: DataFrame) -> DataFrame:
+    """(size, pos, shown): itemsets as ``(a, b)``, by size, sorted as text and numbered from 0.
 
-    A size with more than ``per_line`` itemsets takes several lines, so that no
-    row grows with the result; joined by a comma and a space they are the one line.
+    Joined by a comma and a space, those of one size are its line. They stay
+    rows, so that nothing grows with their number.
     """
     shown = itemsets.select(
         "size", F.format_string("(%s)", F.array_join("items", ", ")).alias("shown")
@@ -323,11 +270,8 @@ def itemset_report(itemsets: DataFrame, per_line: int = ITEMSETS_PER_LINE) -> Da
     numbered = ordered_index(shown, ["size", "shown"], "_index")
     first = numbered.groupBy("size").agg(F.min("_index").alias("_first"))
     # One row per itemset size, which is at most the longest basket.
-    placed = numbered.join(F.broadcast(first), "size").withColumn(
-        "line_no", F.floor((F.col("_index") - F.col("_first")) / per_line).cast("int")
-    )
     return (
-        placed.groupBy("size", "line_no")
-        .agg(F.array_join(F.array_sort(F.collect_list("shown")), ", ").alias("line"))
-        .orderBy("size", "line_no")
+        numbered.join(F.broadcast(first), "size")
+        .select("size", (F.col("_index") - F.col("_first")).alias("pos"), "shown")
+        .orderBy("size", "pos")
     )

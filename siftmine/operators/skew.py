@@ -1,9 +1,8 @@
-"""Joins that stay balanced when a few keys hold a large part of the rows.
+"""Tables that several steps use, and joins whose output a single key could make too large.
 
-Only the heaviest keys are split. Their list is at most ``max_hot`` rows long
-whatever the data size, so it may go through the driver and be broadcast; a key
-that is not among the ``max_hot`` heaviest holds less than ``1 / max_hot`` of
-all rows. Where no key is heavy the plain join is planned.
+Plain equi-joins are left to adaptive execution, which splits a partition that
+one key makes large. What it cannot see is a join that multiplies its rows;
+there every key is split by its own count.
 """
 
 from __future__ import annotations
@@ -13,9 +12,6 @@ from pyspark.sql import functions as F
 
 from siftmine.session import run_folder
 
-ROWS_PER_TASK = 1_000_000
-MAX_HOT_KEYS = 1_000
-
 
 def settle(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
@@ -29,32 +25,13 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-class HotKeys:
-    """The heaviest values of ``key`` in a table of counts, with the splits each needs."""
-
-    def __init__(
-        self,
-        counts: DataFrame,
-        key: str,
-        n: str = "n",
-        rows_per_task: int = ROWS_PER_TASK,
-        max_hot: int = MAX_HOT_KEYS,
-    ):
-        heavy = counts.filter(F.col(n) > rows_per_task).orderBy(F.desc(n), key).limit(max_hot)
-        splits = F.ceil(F.col(n) / rows_per_task).cast("int")
-        self.key = key
-        self.table = heavy.select(key, splits.alias("_splits")).toArrow()
-        self.spark = counts.sparkSession
-
-    def __bool__(self) -> bool:
-        return self.table.num_rows > 0
-
-    def splits(self, df: DataFrame, column: str, name: str = "_splits") -> DataFrame:
-        """Add the number of splits of the key in ``column``, 1 where it is not hot."""
-        lookup = self.spark.createDataFrame(self.table).toDF(column, name)
-        return df.join(F.broadcast(lookup), column, "left").withColumn(
-            name, F.coalesce(name, F.lit(1))
-        )
+def with_splits(
+    df: DataFrame, counts: DataFrame, key: str, rows_per_split: int, name: str = "_splits"
+) -> DataFrame:
+    """Add the number of splits of the row's ``key``, from ``counts`` (key, n); 1 where it has none."""
+    splits = F.ceil(F.col("n") / rows_per_split).cast("int")
+    known = counts.select(key, F.greatest(F.lit(1), splits).alias(name))
+    return df.join(known, key, "left").withColumn(name, F.coalesce(name, F.lit(1)))
 
 
 def spread(columns: list[str], splits: Column) -> Column:
@@ -65,21 +42,3 @@ def spread(columns: list[str], splits: Column) -> Column:
 def replicate(splits: Column) -> Column:
     """One row per split."""
     return F.explode(F.sequence(F.lit(0), splits - 1))
-
-
-def salted_join(
-    facts: DataFrame, dim: DataFrame, hot: HotKeys, spread_by: list[str], how: str = "inner"
-) -> DataFrame:
-    """Equi-join of ``facts`` and ``dim`` on the key of ``hot``, hot keys split.
-
-    Rows of a hot key are spread over its splits by ``spread_by`` and the
-    matching ``dim`` rows are repeated once per split, so the result is the
-    same as that of the plain join.
-    """
-    if not hot:
-        return facts.join(dim, hot.key, how)
-    left = hot.splits(facts, hot.key)
-    left = left.withColumn("_salt", spread(spread_by, F.col("_splits"))).drop("_splits")
-    right = hot.splits(dim, hot.key)
-    right = right.withColumn("_salt", replicate(F.col("_splits"))).drop("_splits")
-    return left.join(right, [hot.key, "_salt"], how).drop("_salt")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftmine.operators.features import tokenize_docs
-from siftmine.sources.readers import read_table, spread_scan
+from siftmine.sources.readers import read_table
 
 
 def survey(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,12 +95,12 @@ def share_of_baskets(rows: DataFrame, share: float) -> int:
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, lang, tokens."""
     docs = read_table(spark, folder, "documents").select("doc_id", "lang", "text")
-    return tokenize_docs(spread_scan(docs), "text").drop("text")
+    return tokenize_docs(docs, "text").drop("text")
 
 
 def vectors(spark: SparkSession, folder: str) -> DataFrame:
     """vec_id, label, features."""
-    return spread_scan(read_table(spark, folder, "embeddings")).select(
+    return read_table(spark, folder, "embeddings").select(
         "vec_id", "label", F.col("embedding").alias("features")
     )
 
@@ -129,3 +129,16 @@ def as_event_tags(events: DataFrame) -> DataFrame:
 
 def event_tags(spark: SparkSession, folder: str) -> DataFrame:
     return as_event_tags(read_table(spark, folder, "events"))
+
+
+def in_slices(df: DataFrame, by: str, slices: int, path: str) -> None:
+    """Write ``df`` as files one after the other, each with the next range of the number ``by``."""
+    rows = df.withColumn("_slice", slice_of(df, by, slices))
+    for number in range(slices):
+        part = rows.filter(F.col("_slice") == number).drop("_slice")
+        part.coalesce(1).write.mode("append").parquet(path)
+
+
+def slice_of(df: DataFrame, by: str, slices: int):
+    last = df.agg(F.max(by)).first()[0] or 0
+    return F.floor(F.col(by) * slices / (last + 1))

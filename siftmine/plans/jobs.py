@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +16,7 @@ from siftmine.operators.clustering import (
     kmeans_assign,
     kmeans_lloyd,
 )
-from siftmine.operators.factors import als_fit, als_predict
+from siftmine.operators.factors import ITERS, RANK, REG, als_fit, als_predict
 from siftmine.operators.features import hashed_tf, tfidf
 from siftmine.operators.itemsets import frequent_itemsets, itemset_report, son_itemsets
 from siftmine.operators.recommend import (
@@ -25,6 +24,7 @@ from siftmine.operators.recommend import (
     rating_error_histogram,
     rating_rmse,
 )
+from siftmine.operators.skew import settle
 from siftmine.operators.stats import (
     annualise,
     group_count_with_total,
@@ -35,7 +35,7 @@ from siftmine.operators.stats import (
 
 # Fixed value: number of hash buckets of the MLlib clustering job.
 MLLIB_BUCKETS = 82
-CLUSTER_SEED = 20181031
+CLUSTER_SEED = 11
 
 
 def salaried_by_country(
@@ -72,7 +72,7 @@ class RatingResult:
 
 
 def factor_ratings(
-    train: DataFrame, test: DataFrame, rank: int = 2, iters: int = 25, reg: float = 0.28, seed: int = 0
+    train: DataFrame, test: DataFrame, rank: int = RANK, iters: int = ITERS, reg: float = REG, seed: int = 0
 ) -> RatingResult:
     """Predictions of the factor model for ``test`` (user, item, rating), and their errors."""
     predicted = als_predict(als_fit(train, rank, iters, reg, seed), test)
@@ -97,16 +97,18 @@ def neighbour_ratings(
     )
 
 
-def frequent_itemset_lines(rows: DataFrame, support: int, method: str = "son") -> DataFrame:
-    """The report lines of all itemsets with at least ``support`` baskets."""
+def frequent_itemset_lines(rows: DataFrame, support: int, method: str = "growth") -> DataFrame:
+    """The report of all itemsets with at least ``support`` baskets."""
     if method not in ("growth", "son"):
         raise ValueError("method must be 'growth' or 'son'")
     find = frequent_itemsets if method == "growth" else son_itemsets
     return itemset_report(find(rows, support))
 
 
-def _report(assigned: DataFrame, cluster_docs: DataFrame, name: str) -> DataFrame:
-    return cluster_report(cluster_summary(assigned), cluster_terms(cluster_docs), name)
+def _report(assigned: DataFrame, name: str) -> DataFrame:
+    """The report of (cluster, sqdist, tokens), which are computed once."""
+    assigned = settle(assigned.select("cluster", "sqdist", "tokens"), "assigned")
+    return cluster_report(cluster_summary(assigned), cluster_terms(assigned), name)
 
 
 def lloyd_report(
@@ -121,12 +123,12 @@ def lloyd_report(
     """Cluster ``docs`` (id, tokens) by explicit K-Means steps on term counts or TF-IDF."""
     if weighting not in ("tf", "tfidf"):
         raise ValueError("weighting must be 'tf' or 'tfidf'")
-    features = hashed_tf(docs, num_features)
+    # Dealt out by id, as each row is read many times.
+    features = settle(hashed_tf(docs.repartition(id_col), num_features), "features")
     if weighting == "tfidf":
-        features = tfidf(features)
+        features = settle(tfidf(features), "features")
     centres, _ = kmeans_lloyd(features, k, iters, seed, id_col, weighting)
-    assigned = kmeans_assign(features, centres, weighting).select("cluster", "sqdist", "tokens")
-    return _report(assigned, assigned, "K-Means")
+    return _report(kmeans_assign(features, centres, weighting), "K-Means")
 
 
 def mllib_report(
@@ -140,11 +142,10 @@ def mllib_report(
     """Cluster ``docs`` (tokens) on TF-IDF with an MLlib estimator."""
     if algorithm not in ("kmeans", "bisecting"):
         raise ValueError("algorithm must be 'kmeans' or 'bisecting'")
-    features = tfidf(hashed_tf(docs, num_features)).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = settle(hashed_tf(docs, num_features), "features")
+    features = settle(tfidf(counts), "features")
     fit, name = {
         "kmeans": (kmeans, "K-Means"),
         "bisecting": (bisecting_kmeans, "Bisecting K-Means"),
     }[algorithm]
-    assigned = fit(features, k, iters, seed, "tfidf").select("cluster", "sqdist", "tokens")
-    features.unpersist()
-    return _report(assigned, assigned, name)
+    return _report(fit(features, k, iters, seed, "tfidf"), name)

@@ -84,7 +84,9 @@ def align_metrics(spark, folder):
 
 @query
 def partition_profile(spark, folder):
-    return jobs.partition_comparison(inputs.survey(spark, folder))
+    # Where rows lie differs between runs; all of them must be there in either layout.
+    found = jobs.partition_comparison(inputs.survey(spark, folder))
+    return found.groupBy("layout").agg(F.sum("rows").alias("rows"))
 
 
 # Sources and sinks, by writing and reading back
@@ -129,16 +131,24 @@ def read_documents(spark, folder):
 def write_delimited(spark, folder):
     path = run_folder(spark, "statistics")
     result = jobs.salary_statistics(inputs.survey(spark, folder), int_mode="saturate")
-    writers.write_lines(writers.delimited_lines(result.drop("avg_value")), path)
+    shown = result.withColumn("avg_value", F.format_string("%.2f", "avg_value"))
+    writers.write_lines(writers.delimited_lines(shown), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query
+def write_counts(spark, folder):
+    path = run_folder(spark, "counts")
+    counts = jobs.salaried_by_country(inputs.survey(spark, folder)).drop("sort_flag")
+    writers.write_lines(writers.delimited_lines(counts), path)
     return spark.read.text(path).withColumnRenamed("value", "line")
 
 
 @query
 def write_itemset_report(spark, folder):
     path = run_folder(spark, "itemsets")
-    lines = jobs.frequent_itemset_lines(*_event_baskets(spark, folder))
-    writers.write_lines(lines.select("line"), path)
-    return spark.read.text(path).withColumnRenamed("value", "line")
+    writers.write_itemset_report(jobs.frequent_itemset_lines(*_event_baskets(spark, folder)), path)
+    return readers.read_itemset_report(spark, path)
 
 
 @query
@@ -234,6 +244,24 @@ def als_rmse(spark, folder):
     return _round(jobs.factor_ratings(*inputs.train_test(spark, folder)).rmse, 4, "rmse")
 
 
+def _written_predictions(spark, result):
+    path = run_folder(spark, "predictions")
+    rounded = _round(result.predictions, 4, "prediction")
+    shown = rounded.withColumn("prediction", F.format_string("%.4f", "prediction"))
+    writers.write_lines(writers.delimited_lines(shown), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@query
+def neighbour_ratings(spark, folder):
+    return _written_predictions(spark, jobs.neighbour_ratings(*inputs.train_test(spark, folder)))
+
+
+@query
+def factor_ratings(spark, folder):
+    return _written_predictions(spark, jobs.factor_ratings(*inputs.train_test(spark, folder)))
+
+
 # Frequent itemsets
 
 
@@ -269,7 +297,12 @@ def frequent_itemsets_orders(spark, folder):
 @query
 def son_candidates(spark, folder):
     rows, support = _order_baskets(spark, folder)
-    return _joined(itemsets.son_candidates(rows, support, chunk_baskets=4_000))
+    found = itemsets.son_candidates(rows, support, chunk_baskets=4_000)
+    frequent = itemsets.frequent_itemsets(rows, support).select("items")
+    seen = found.select("items", F.lit(True).alias("seen"))
+    return frequent.join(seen, "items", "left").agg(
+        F.count(F.lit(1)).alias("frequent"), F.count_if(F.col("seen").isNull()).alias("missed")
+    )
 
 
 @query
@@ -282,7 +315,7 @@ def son_itemsets(spark, folder):
 def son_verify(spark, folder):
     rows, support = _event_baskets(spark, folder)
     found = itemsets.son_candidates(rows, support, chunk_baskets=8)
-    return _joined(itemsets.son_verify(rows, found.filter(F.size("items") == 3), support))
+    return _joined(itemsets.son_verify(rows, found, support))
 
 
 @query
@@ -318,7 +351,7 @@ def tokenize_docs(spark, folder):
 
 @query
 def term_idf(spark, folder):
-    return _round(features.term_idf(inputs.documents(spark, folder), min_df=20), 6, "idf")
+    return _round(features.term_idf(inputs.documents(spark, folder)), 6, "idf")
 
 
 def _vector_figures(df: DataFrame, column: str) -> DataFrame:
@@ -335,7 +368,9 @@ def _vector_figures(df: DataFrame, column: str) -> DataFrame:
 @query
 def hashed_tf(spark, folder):
     docs = inputs.documents(spark, folder)
-    return _vector_figures(features.hashed_tf(docs, jobs.MLLIB_BUCKETS), "tf")
+    counted = _vector_figures(features.hashed_tf(docs, jobs.MLLIB_BUCKETS), "tf")
+    # The buckets are the library's; their counts add up to the tokens whatever they are.
+    return counted.select("doc_id", "total")
 
 
 @query
@@ -389,16 +424,25 @@ def cluster_summary(spark, folder):
     return _round(clustering.cluster_summary(assigned), 6, "error")
 
 
+def _fit_figures(found: DataFrame) -> DataFrame:
+    """Rows, and whether all clusters together cost less than a single one."""
+    cells = found.select("sqdist", F.posexplode("features").alias("dim", "x"))
+    x = F.col("x").cast("double")
+    by_dim = cells.groupBy("dim").agg(
+        F.count(F.lit(1)).alias("rows"), (F.sum(x * x) - F.sum(x) * F.avg(x)).alias("spread"),
+        F.sum("sqdist").alias("cost"),
+    )
+    return by_dim.agg(F.max("rows").alias("rows"), (F.max("cost") < F.sum("spread")).alias("better"))
+
+
 @query
 def kmeans(spark, folder):
-    found = clustering.kmeans(inputs.vectors(spark, folder), sql.K, 20)
-    return _round(clustering.cluster_summary(found), 4, "error")
+    return _fit_figures(clustering.kmeans(inputs.vectors(spark, folder), sql.K, 20))
 
 
 @query
 def bisecting_kmeans(spark, folder):
-    found = clustering.bisecting_kmeans(inputs.vectors(spark, folder), sql.K, 20)
-    return _round(clustering.cluster_summary(found), 4, "error")
+    return _fit_figures(clustering.bisecting_kmeans(inputs.vectors(spark, folder), sql.K, 20))
 
 
 @query
@@ -409,7 +453,6 @@ def cluster_terms(spark, folder):
 def _labelled(spark, folder):
     """doc_id, cluster, features, tokens: labelled documents with their length as feature."""
     docs = readers.read_table(spark, folder, "documents").select("doc_id", "text", "n_chars")
-    docs = readers.spread_scan(docs)
     labels = readers.read_table(spark, folder, "labels")
     return features.tokenize_docs(docs, "text").join(labels, "doc_id").select(
         "doc_id",
@@ -521,38 +564,55 @@ def bloom_audit_legacy(spark, folder):
     return membership.bloom_audit(inputs.event_tags(spark, folder), ["event_id"], legacy=True)
 
 
-def _stream(spark, folder, name):
-    schema = readers.read_table(spark, folder, name).schema
-    # A pattern, so that a table may be one file or a folder of files.
-    return readers.stream_texts(spark, schema, f"{folder}/{name}.parque[t]")
+def _stream(spark, folder, name, by):
+    """The table as a stream of files that come one by one."""
+    path = run_folder(spark, f"{name}-files")
+    rows = readers.read_table(spark, folder, name)
+    inputs.in_slices(rows, by, sql.BATCHES, path)
+    return readers.stream_texts(spark, rows.schema, path, max_files=1)
 
 
 def _finished(stream_query):
+    """Number of the last batch."""
     stream_query.awaitTermination()
     return stream_query.lastProgress["batchId"]
 
 
-@query
-def stream_reservoir(spark, folder):
+def _with_batches(df: DataFrame, last: int) -> DataFrame:
+    return df.withColumn("batches", F.lit(last + 1))
+
+
+def _run_reservoir(spark, folder):
     state = run_folder(spark, "reservoir")
-    texts = inputs.as_texts(_stream(spark, folder, "conversations"))
-    last = _finished(
+    texts = inputs.as_texts(_stream(spark, folder, "conversations", "conv_id"))
+    return state, _finished(
         streams.stream_reservoir(texts, state, seed=sql.SEED, prefix=sql.PREFIX)
     )
-    return streams.current_sample(spark, state, last)
+
+
+@query
+def stream_reservoir(spark, folder):
+    state, last = _run_reservoir(spark, folder)
+    return _with_batches(streams.current_sample(spark, state, last), last)
 
 
 @query
 def stream_reservoir_stats(spark, folder):
-    state = run_folder(spark, "reservoir")
-    texts = inputs.as_texts(_stream(spark, folder, "conversations"))
-    _finished(streams.stream_reservoir(texts, state, seed=sql.SEED, prefix=sql.PREFIX))
-    return streams.latest_metrics(spark, state)
+    state, last = _run_reservoir(spark, folder)
+    return _with_batches(streams.batch_metrics(spark, state, last), last)
 
 
 @query
 def stream_bloom(spark, folder):
     state = run_folder(spark, "bloom")
-    tags = inputs.as_event_tags(_stream(spark, folder, "events"))
-    _finished(streams.stream_bloom(tags, state, tag="tag", text=None))
-    return streams.latest_metrics(spark, state).drop("at", "bloom_new")
+    tags = inputs.as_event_tags(_stream(spark, folder, "events", "event_id"))
+    last = _finished(streams.stream_bloom(tags, state, tag="tag", text=None))
+    return _with_batches(streams.batch_metrics(spark, state, last).drop("at", "bloom_new"), last)
+
+
+@query
+def stream_bloom_texts(spark, folder):
+    state = run_folder(spark, "bloom")
+    texts = inputs.as_texts(_stream(spark, folder, "conversations", "conv_id"))
+    last = _finished(streams.stream_bloom(texts, state, prefix=sql.PREFIX))
+    return _with_batches(streams.batch_metrics(spark, state, last).drop("at", "bloom_new"), last)

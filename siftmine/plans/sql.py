@@ -13,6 +13,7 @@ SAMPLE = 100
 BITS = 1024
 PREFIX = "th"
 NEIGHBOURS = 10
+BATCHES = 4
 
 SURVEY = """
 survey AS (
@@ -96,6 +97,45 @@ cf AS (
 
 CF_ABS, CF_SIGNED = _cf("abs(sim)"), _cf("sim")
 
+
+def _als(rank: int, iters: int, reg: float, seed: int = 0) -> str:
+    """CTE ``als`` with the predictions after ``iters`` iterations of rank 2."""
+    assert rank == 2
+    start = ", ".join(
+        f"(CAST('0x' || substr(md5(item || '-{seed}-{i}'), 1, 8) AS BIGINT) % 1000000 + 1) / 1e6 AS f{i}"
+        for i in range(rank)
+    )
+    steps = [f"{SPLIT},\ni0 AS MATERIALIZED (SELECT item, {start} FROM (SELECT DISTINCT item FROM train))"]
+
+    def half(name: str, key: str, other: str, before: str) -> str:
+        return f"""
+{name} AS MATERIALIZED (
+  SELECT {key}, (c * r0 - b * r1) / (a * c - b * b) AS f0, (a * r1 - b * r0) / (a * c - b * b) AS f1
+  FROM (SELECT {key}, sum(f0 * f0) + CAST({reg} AS DOUBLE) * count(*) AS a, sum(f0 * f1) AS b,
+      sum(f1 * f1) + CAST({reg} AS DOUBLE) * count(*) AS c,
+      sum(rating * f0) AS r0, sum(rating * f1) AS r1
+    FROM train JOIN {before} USING ({other}) GROUP BY {key}))"""
+
+    for i in range(1, iters + 1):
+        steps.append(half(f"u{i}", '"user"', "item", f"i{i - 1}"))
+        steps.append(half(f"i{i}", "item", '"user"', f"u{i}"))
+    steps.append(f"""
+als AS (
+  SELECT "user", item, rating, u.f0 * i.f0 + u.f1 * i.f1 AS prediction
+  FROM test JOIN u{iters} u USING ("user") JOIN i{iters} i USING (item))""")
+    return ",".join(steps)
+
+
+ALS = _als(2, 25, 0.28)
+
+
+def _histogram(source: str, error: str) -> str:
+    return f"""e AS (
+        SELECT CAST(least(floor({error}), 4) AS INTEGER) AS bucket FROM {source})
+      SELECT b.bucket, b.label, count(e.bucket) AS n
+      FROM (VALUES (0, '[0,1)'), (1, '[1,2)'), (2, '[2,3)'), (3, '[3,4)'), (4, '[4,inf)'))
+        b(bucket, label) LEFT JOIN e USING (bucket) GROUP BY ALL"""
+
 EVENT_BASKETS = """
 rows AS (
   SELECT DISTINCT CAST(user_id AS VARCHAR) || '|' || strftime(ts, '%Y-%m-%d') AS basket,
@@ -236,7 +276,9 @@ MD5_BITS = f"""
   CAST(CAST('0x' || substr(md5(tag), 1, 8) AS BIGINT) % {BITS} AS INTEGER) AS h1,
   CAST(CAST('0x' || substr(md5(tag), 9, 8) AS BIGINT) % {BITS} AS INTEGER) AS h2"""
 
-_CODES = "[CAST(unicode(c) AS BIGINT) for c in string_split(tag, '') if c <> '']"
+_CODES = """flatten([CASE WHEN unicode(c) > 65535
+  THEN [(unicode(c) - 65536) // 1024 + 55296, (unicode(c) - 65536) % 1024 + 56320]::BIGINT[]
+  ELSE [unicode(c)]::BIGINT[] END for c in string_split(tag, '') if c <> ''])"""
 _RAW = f"list_reduce(list_concat([CAST(0 AS BIGINT)], {_CODES}), lambda a, x: (a * 31 + x) % 4294967296)"
 LEGACY_BITS = f"""
   CAST(abs(CASE WHEN {_RAW} >= 2147483648 THEN {_RAW} - 4294967296 ELSE {_RAW} END) % {BITS}
@@ -244,8 +286,19 @@ LEGACY_BITS = f"""
   CAST(CAST(list_sum({_CODES}) AS BIGINT) * 67 % {BITS} AS INTEGER) AS h2"""
 
 
-def _flags(bits: str) -> str:
-    return f"""{EVENT_TAGS},
+# Tags of the texts as they come in slices; the space sorts before what ids are made of.
+TEXT_TAGS = f"""
+slices AS (
+  SELECT CAST(floor(conv_id * {BATCHES} / ((SELECT max(conv_id) FROM conversations) + 1)) AS INTEGER)
+      || ' ' || conv_id || '-' || turn AS event_id, lower(text) AS text
+  FROM conversations),{_tags_of('slices')},
+tags AS (
+  SELECT event_id || ' ' || lpad(CAST(pos AS VARCHAR), 9, '0') AS event_id, tag FROM (
+    SELECT event_id, unnest(range(len(tags))) AS pos, unnest(tags) AS tag FROM tag_lists))"""
+
+
+def _flags(bits: str, tags: str = EVENT_TAGS) -> str:
+    return f"""{tags},
 hashed AS (SELECT event_id, tag, {bits} FROM tags),
 bit_first AS (
   SELECT bit, min(event_id) AS first FROM (
@@ -259,8 +312,8 @@ flags AS (
   JOIN tag_first t USING (tag))"""
 
 
-def _audit(bits: str, texts: str = "") -> str:
-    return f"""WITH {_flags(bits)},
+def _audit(bits: str, texts: str = "", tags: str = EVENT_TAGS) -> str:
+    return f"""WITH {_flags(bits, tags)},
 totals AS (
   SELECT count(*) AS occurrences, count(DISTINCT tag) AS distinct_tags,
     count(*) FILTER (bloom_seen) AS bloom_positive, count(*) FILTER (seen) AS exact_positive,
@@ -279,9 +332,9 @@ def _saturate(value: str) -> str:
     return f"CASE WHEN {value} IS NOT NULL THEN {bounded} END"
 
 
-REPORT_LINES = """
-SELECT size, 0 AS line_no, string_agg('(' || replace(items, ',', ', ') || ')', ', '
-  ORDER BY '(' || replace(items, ',', ', ') || ')') AS line FROM found GROUP BY size"""
+REPORT = """
+SELECT size, row_number() OVER (PARTITION BY size ORDER BY shown) - 1 AS pos, shown
+FROM (SELECT size, '(' || replace(items, ',', ', ') || ')' AS shown FROM found)"""
 
 ORACLE: dict[str, str] = {
     "preview": f"WITH {SURVEY} SELECT * FROM survey ORDER BY respondent LIMIT 10",
@@ -320,10 +373,16 @@ ORACLE: dict[str, str] = {
         AS n_tokens, count(*) AS n FROM lines GROUP BY 1""",
     "write_delimited": f"""WITH {YEARLY}, found AS (
         SELECT replace(country, ',', '') AS country, count(salary) AS n,
-          {_saturate('min(salary)')} AS low, {_saturate('max(salary)')} AS high
+          {_saturate('min(salary)')} AS low, {_saturate('max(salary)')} AS high,
+          printf('%.2f', round(avg(salary), 2)) AS mean
         FROM yearly GROUP BY 1)
-      SELECT concat_ws(',', country, n, low, high) AS line FROM found""",
-    "write_itemset_report": f"WITH {EVENT_ITEMSETS} SELECT line FROM ({REPORT_LINES})",
+      SELECT concat_ws(',', country, n, low, high, mean) AS line FROM found""",
+    "write_counts": f"""WITH {SURVEY}, kept AS (
+        SELECT * FROM survey WHERE salary IS NULL OR salary NOT IN ('NA', '0'))
+      SELECT 'Total,' || count(*) AS line FROM kept
+      UNION ALL SELECT replace(country, ',', '') || ',' || n
+      FROM (SELECT country, count(*) AS n FROM kept GROUP BY country)""",
+    "write_itemset_report": f"WITH {EVENT_ITEMSETS} SELECT size, shown FROM ({REPORT})",
     "write_cluster_report": f"WITH {LABELLED} SELECT * FROM report",
     "dense_ids": """SELECT value, row_number() OVER (ORDER BY value) - 1 AS id
       FROM (SELECT DISTINCT 'c' || CAST(o_custkey AS VARCHAR) AS value FROM orders)""",
@@ -339,29 +398,41 @@ ORACLE: dict[str, str] = {
       SELECT * FROM sims""",
     "item_cf_predict": f"WITH {CF_ABS} SELECT * FROM cf",
     "item_cf_predict_signed": f"WITH {CF_SIGNED} SELECT * FROM cf",
-    "rating_error_histogram": f"""WITH {CF_ABS}, e AS (
-        SELECT CAST(least(floor(abs(rating - pred_rating)), 4) AS INTEGER) AS bucket FROM cf)
-      SELECT b.bucket, b.label, count(e.bucket) AS n
-      FROM (VALUES (0, '[0,1)'), (1, '[1,2)'), (2, '[2,3)'), (3, '[3,4)'), (4, '[4,inf)'))
-        b(bucket, label) LEFT JOIN e USING (bucket) GROUP BY ALL""",
+    "rating_error_histogram": f"WITH {CF_ABS}, {_histogram('cf', 'abs(rating - pred_rating)')}",
     "rating_rmse": f"""WITH {CF_ABS} SELECT count(*) AS n,
       round(sqrt(avg(pow(rating - pred_rating, 2))), 6) AS rmse FROM cf""",
+    "als_predict": f"""WITH {ALS} SELECT "user", item, round(prediction, 4) + 0.0e0 AS prediction
+      FROM als""",
+    "als_error_histogram": f"WITH {ALS}, {_histogram('als', 'abs(rating - prediction)')}",
+    "als_rmse": f"""WITH {ALS} SELECT count(*) AS n,
+      round(sqrt(avg(pow(rating - prediction, 2))), 4) AS rmse FROM als""",
+    "neighbour_ratings": f"""WITH {CF_ABS} SELECT "user" || ',' || item || ','
+        || printf('%.4f', pred_rating) AS line FROM cf""",
+    "factor_ratings": f"""WITH {ALS} SELECT "user" || ',' || item || ','
+        || printf('%.4f', round(prediction, 4)) AS line FROM als""",
     "baskets": f"""WITH {EVENT_BASKETS} SELECT basket, string_agg(item, ',' ORDER BY item) AS items
       FROM rows GROUP BY basket""",
     "frequent_itemsets": f"WITH {EVENT_ITEMSETS} SELECT * FROM found",
     "frequent_itemsets_orders": f"WITH {ORDER_ITEMSETS} SELECT * FROM found",
     "son_itemsets": f"WITH {ORDER_ITEMSETS} SELECT * FROM found",
-    "son_verify": f"WITH {EVENT_ITEMSETS} SELECT * FROM found WHERE size = 3",
+    "son_candidates": f"""WITH {_itemsets(ORDER_BASKETS, ORDER_SHARE, range(1, 5))}
+      SELECT count(*) AS frequent, 0::BIGINT AS missed FROM found""",
+    "son_verify": f"WITH {EVENT_ITEMSETS} SELECT * FROM found",
     "apriori_level_2": f"WITH {ORDER_ITEMSETS} SELECT * FROM found WHERE size = 2",
     "apriori_level_3": f"WITH {EVENT_ITEMSETS} SELECT * FROM found WHERE size = 3",
-    "itemset_report": f"WITH {EVENT_ITEMSETS} {REPORT_LINES}",
+    "itemset_report": f"WITH {EVENT_ITEMSETS} {REPORT}",
     "tokenize_docs": f"""WITH {TOKENS} SELECT doc_id, len(tokens) AS n_tokens,
       md5(array_to_string(tokens, '|')) AS tokens_md5 FROM tokens""",
     "term_idf": f"""WITH {TOKENS}, df AS (
         SELECT term, count(*) AS df FROM (
           SELECT unnest(list_distinct(tokens)) AS term FROM tokens) GROUP BY term)
       SELECT term, df, round(ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS idf
-      FROM df WHERE df >= 20""",
+      FROM df""",
+    "hashed_tf": f"""WITH {TOKENS} SELECT doc_id, CAST(len(tokens) AS DOUBLE) AS total FROM tokens""",
+    "partition_profile": f"""WITH {SURVEY}
+      SELECT unnest(['standard', 'partition']) AS layout, (SELECT count(*) FROM survey) AS rows""",
+    "kmeans": "SELECT count(*) AS rows, true AS better FROM embeddings",
+    "bisecting_kmeans": "SELECT count(*) AS rows, true AS better FROM embeddings",
     "kmeans_seed": f"WITH {SEEDS} SELECT cluster, vec_id FROM seeds",
     "kmeans_assign": f"""WITH {ASSIGNED} SELECT vec_id, cluster, round(d, 6) AS sqdist
       FROM assigned""",
@@ -390,7 +461,12 @@ ORACLE: dict[str, str] = {
     "bloom_flags": f"WITH {_flags(MD5_BITS)} SELECT event_id, tag, bloom_seen FROM flags",
     "bloom_audit": _audit(MD5_BITS),
     "bloom_audit_legacy": _audit(LEGACY_BITS),
-    "stream_reservoir": f"WITH {SAMPLE_TEXTS} SELECT * FROM sample",
-    "stream_reservoir_stats": STATS,
-    "stream_bloom": _audit(MD5_BITS, "occurrences AS texts, "),
+    "stream_reservoir": f"WITH {SAMPLE_TEXTS} SELECT *, {BATCHES} AS batches FROM sample",
+    "stream_reservoir_stats": f"SELECT *, {BATCHES} AS batches FROM ({STATS})",
+    "stream_bloom": _audit(MD5_BITS, f"occurrences AS texts, {BATCHES} AS batches, "),
+    "stream_bloom_texts": _audit(
+        MD5_BITS,
+        f"(SELECT count(*) FROM conversations) AS texts, {BATCHES} AS batches, ",
+        TEXT_TAGS,
+    ),
 }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,22 +29,18 @@ def build_session(app_name: str, master: str | None = None, **conf) -> SparkSess
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for checkpoints and intermediate tables.
+    """Folder for checkpoints and intermediate tables, which all executors can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    without that setting gets a temporary folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, it
+    is a folder in Spark's warehouse.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(folder)
-        return folder.rstrip("/")
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_siftmine"
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors can reach")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="siftmine-"))
-    return context.getCheckpointDir().rstrip("/")
+        context.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def run_folder(spark: SparkSession, purpose: str) -> str:

@@ -16,16 +16,6 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """A scan for heavy work per row: dealt out if it comes in fewer pieces than there are cores.
-
-    One file with one row group is one task otherwise. ``df`` must be a plain
-    scan, as its partitions are looked up; large tables are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_survey(
     spark: SparkSession,
     path: str,
@@ -69,6 +59,12 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_itemset_report(spark: SparkSession, path: str) -> DataFrame:
+    """size, shown from a written report."""
+    entries = spark.read.schema("value string, size int").option("lineSep", "), ").text(path)
+    return entries.select("size", F.concat("value", F.lit(")")).alias("shown"))
+
+
 def stream_texts(
     spark: SparkSession, schema: T.StructType | str, path: str, max_files: int | None = None
 ) -> DataFrame:

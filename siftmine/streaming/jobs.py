@@ -64,6 +64,7 @@ def stream_reservoir(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()  # read once, used for the count and for the sample
         samples, totals = _reservoir_state(spark, state_dir)
         before = totals.before(batch_id).agg(F.coalesce(F.sum("texts"), F.lit(0))).scalar()
         seen = totals.write(
@@ -75,6 +76,7 @@ def stream_reservoir(
         texts_seen = seen.select("texts").scalar()
         stats = reservoir_stats(sample, "text", texts_seen, n_tags, prefix)
         stats.coalesce(1).write.mode("overwrite").parquet(_metrics_path(state_dir, batch_id))
+        batch.unpersist()
 
     return _start(kept, state_dir, on_batch, available_now)
 
@@ -186,11 +188,9 @@ def stream_bloom(
     return _start(state, state_dir, on_batch, available_now)
 
 
-def latest_metrics(spark: SparkSession, state_dir: str) -> DataFrame:
-    """The figures of the last batch."""
-    metrics = read_metrics(spark, state_dir)
-    last = metrics.agg(F.max("batch")).scalar()
-    return metrics.filter(F.col("batch") == last).drop("batch")
+def batch_metrics(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame:
+    """The figures of one batch."""
+    return spark.read.parquet(_metrics_path(state_dir, batch_id))
 
 
 def current_sample(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame:

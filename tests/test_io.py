@@ -1,6 +1,5 @@
 import json
 
-from siftmine.operators import itemsets
 from siftmine.sources import readers, writers
 
 
@@ -49,11 +48,7 @@ def test_delimited_lines(spark):
     assert [r[0] for r in writers.delimited_lines(df).collect()] == ["a,,1", "b,2.5,2"]
 
 
-def test_write_itemset_lines_and_json(spark, tmp_path):
-    found = spark.createDataFrame([(["a"], 1), (["a", "b"], 2)], "items array<string>, size int")
-    writers.write_lines(itemsets.itemset_report(found).select("line"), str(tmp_path / "lines"))
-    lines = [l for f in sorted((tmp_path / "lines").glob("*.txt")) for l in f.read_text().splitlines()]
-    assert lines == ["(a)", "(a, b)"]
+def test_write_json(spark, tmp_path):
     report = spark.sql("select 'K' as algorithm, 1.5D as wsse, array(named_struct('id', 1)) as clusters")
     writers.write_report(report, str(tmp_path / "json"))
     text = "".join(f.read_text() for f in (tmp_path / "json").glob("*.json"))

@@ -5,6 +5,7 @@ import pytest
 
 from siftmine.operators import itemsets
 from siftmine.plans import jobs
+from siftmine.sources import readers, writers
 
 
 def _rows(seed, n=60, items=9):
@@ -79,35 +80,64 @@ def test_levels(frame):
         assert _found(level) == {k: n for k, n in expected.items() if len(k) == size}
 
 
-def test_hot_items_are_split(frame, spark):
+def test_levels_keep_to_the_level_before(frame, spark):
+    rows = _rows(5)
+    pairs = [k for k in _brute(rows, 6) if len(k) == 2]
+    assert len(pairs) > 3
+    some = spark.createDataFrame([(list(k),) for k in pairs[1:]], "items array<string>")
+    found = _found(itemsets.apriori_level(frame(rows), some, 3, 6))
+    assert found == {
+        k: n for k, n in _brute(rows, 6).items() if len(k) == 3 and not set(pairs[0]) <= set(k)
+    }
+
+
+def test_verify_counts_any_candidates(frame, spark):
     rows = _rows(6)
-    weighted = itemsets.weighted_baskets(frame(rows), 5, rows_per_task=4)
-    assert weighted.agg({"weight": "sum"}).first()[0] <= len({b for b, _ in rows})
     wanted = spark.createDataFrame(
         [(list(k),) for k in _brute(rows, 3)] + [(["missing", "1"],)], "items array<string>"
     )
-    for max_sent in (0, 50_000):
-        found = itemsets.son_verify(frame(rows), wanted, 5, weighted, max_sent, rows_per_task=4)
-        assert _found(found) == _brute(rows, 5)
+    assert _found(itemsets.son_verify(frame(rows), wanted, 5)) == _brute(rows, 5)
+
 
+def test_low_support_does_not_explode(frame):
+    dice = random.Random(8)
+    rows = [(b, f"i{dice.randrange(60)}") for b in range(200) for _ in range(10)]
+    frequent = itemsets.frequent_itemsets(frame(rows), 3).count()
+    candidates = itemsets.son_candidates(frame(rows), 3, 50).count()
+    assert candidates <= 1.2 * frequent
 
-def test_report_layout(spark, frame, rows):
+
+def test_report_layout(spark, frame, rows, tmp_path):
     found = spark.createDataFrame(
         [(["10"], 1), (["1"], 1), (["2"], 1), (["1", "2"], 2), (["1", "10"], 2)],
         "items array<string>, size int",
     )
-    assert rows(itemsets.itemset_report(found)) == [
-        (1, 0, "(1), (10), (2)"),
-        (2, 0, "(1, 10), (1, 2)"),
+    report = itemsets.itemset_report(found)
+    assert rows(report) == [
+        (1, 0, "(1)"), (1, 1, "(10)"), (1, 2, "(2)"), (2, 0, "(1, 10)"), (2, 1, "(1, 2)"),
+    ]
+    path = tmp_path / "report"
+    writers.write_itemset_report(report, str(path))
+    lines = {
+        folder.name: "".join(f.read_text() for f in sorted(folder.glob("part-*")))
+        for folder in path.glob("size=*")
+    }
+    assert lines == {"size=1": "(1), (10), (2), ", "size=2": "(1, 10), (1, 2), "}
+    assert rows(readers.read_itemset_report(spark, str(path)), "size", "shown") == [
+        (size, shown) for size, _, shown in rows(report)
     ]
-    wrapped = rows(itemsets.itemset_report(found, per_line=2))
-    assert wrapped == [(1, 0, "(1), (10)"), (1, 1, "(2)"), (2, 0, "(1, 10), (1, 2)")]
+
+
+def test_report_of_many_itemsets_stays_rows(spark):
+    found = spark.range(12_000).selectExpr("array(cast(id as string)) as items", "1 as size")
+    report = itemsets.itemset_report(found)
+    assert report.count() == 12_000 and report.agg({"pos": "max"}).first()[0] == 11_999
 
 
 def test_job_methods_agree_and_sizes_are_anti_monotone(frame, rows):
     data = _rows(7)
     grown = rows(jobs.frequent_itemset_lines(frame(data), 8))
-    assert grown == rows(jobs.frequent_itemset_lines(frame(data), 8, "growth"))
+    assert grown == rows(jobs.frequent_itemset_lines(frame(data), 8, "son"))
     assert set(_brute(data, 12)) <= set(_brute(data, 8))
 
 

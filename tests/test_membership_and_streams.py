@@ -94,7 +94,7 @@ def test_stream_bloom_equals_batch(spark, source, tmp_path, sizes):
         spark.createDataFrame(rows, "event_id long, text string"), "text", ["event_id"]
     )
     expected = membership.bloom_audit(tags, ["event_id", "pos"], 64).first().asDict()
-    last = streams.latest_metrics(spark, state).drop("at", "bloom_new").first().asDict()
+    last = streams.batch_metrics(spark, state, query.lastProgress["batchId"]).drop("at", "bloom_new").first().asDict()
     assert last.pop("texts") == 240
     assert last == expected
     history = streams.read_metrics(spark, state).orderBy("batch").collect()
@@ -116,7 +116,7 @@ def test_stream_reservoir_equals_batch(spark, rows, source, tmp_path, sizes):
     found = streams.current_sample(spark, state, query.lastProgress["batchId"])
     assert sorted(rows(found)) == sorted(rows(sample))
     expected = rows(sampling.reservoir_stats(sample, "text", F.lit(240)))
-    assert sorted(rows(streams.latest_metrics(spark, state))) == sorted(expected)
+    assert sorted(rows(streams.batch_metrics(spark, state, query.lastProgress["batchId"]))) == sorted(expected)
 
 
 def test_stream_goes_on_after_a_restart(spark, source, tmp_path):
@@ -124,13 +124,14 @@ def test_stream_goes_on_after_a_restart(spark, source, tmp_path):
     folder, stream = source(rows[:100], [60, 40])
     state = str(tmp_path / "state")
     streams.stream_bloom(stream, state, m=64).awaitTermination()
-    first = streams.latest_metrics(spark, state).first()["texts"]
+    first = streams.batch_metrics(spark, state, 1).first()["texts"]
     for i, (a, b) in enumerate([(100, 150), (150, 240)]):
         more = spark.createDataFrame(rows[a:b], "event_id long, text string")
         more.coalesce(1).write.parquet(f"{folder}/part=10{i}")
     again = stream_texts(spark, "event_id long, text string", f"{folder}/*", 1)
-    streams.stream_bloom(again, state, m=64).awaitTermination()
-    last = streams.latest_metrics(spark, state).drop("at", "bloom_new").first().asDict()
+    query = streams.stream_bloom(again, state, m=64)
+    query.awaitTermination()
+    last = streams.batch_metrics(spark, state, query.lastProgress["batchId"]).drop("at", "bloom_new").first().asDict()
     assert (first, last.pop("texts")) == (100, 240)
     tags = sampling.extract_tags(
         spark.createDataFrame(rows, "event_id long, text string"), "text", ["event_id"]
@@ -165,8 +166,9 @@ def test_failed_batch_runs_again(spark, source, tmp_path, monkeypatch):
     with pytest.raises(Exception, match="lost"):
         streams.stream_bloom(stream, state, m=64).awaitTermination()
     again = stream_texts(spark, "event_id long, text string", f"{folder}/*", 1)
-    streams.stream_bloom(again, state, m=64).awaitTermination()
-    last = streams.latest_metrics(spark, state).drop("at", "bloom_new").first().asDict()
+    query = streams.stream_bloom(again, state, m=64)
+    query.awaitTermination()
+    last = streams.batch_metrics(spark, state, query.lastProgress["batchId"]).drop("at", "bloom_new").first().asDict()
     assert last.pop("texts") == 240
     tags = sampling.extract_tags(
         spark.createDataFrame(rows, "event_id long, text string"), "text", ["event_id"]

@@ -23,14 +23,15 @@ def test_split_tokens(spark):
 
 def test_java_hash_and_anagrams(spark):
     def java_hash(text):
-        value = 0
-        for c in text:
-            value = (value * 31 + ord(c)) % 2**32
+        value, raw = 0, text.encode("utf-16-le")
+        for low, high in zip(raw[::2], raw[1::2]):
+            value = (value * 31 + high * 256 + low) % 2**32
         return value - 2**32 if value >= 2**31 else value
 
-    words = ["Hello", "", "Aa", "BB", "listen-to-the-longest-tag", "çé"]
+    words = ["Hello", "", "Aa", "BB", "listen-to-the-longest-tag", "çé", "\U0001f600", "a\U0001f600b\U00020000"]
     assert _column(spark, words, java_string_hash) == [java_hash(w) for w in words]
-    assert java_hash("Hello") == 69609650
+    assert java_hash("Hello") == 69609650 and java_hash("\U0001f600") == 1772899
+    assert _column(spark, ["\U0001f600"], character_sum) == [67 * (0xD83D + 0xDE00)]
     assert _column(spark, ["listen", "silent"], character_sum) == [67 * 655] * 2
 
 
