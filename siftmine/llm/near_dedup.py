@@ -12,9 +12,9 @@ id.
    the chosen miss probability.
 3. First only the most similar pairs that span each tile are verified on full
    sets. Then, where a bucket still holds several components, all its pairs
-   across components that survive the comparison are. So a large group costs
-   a few links for each member and not all its pairs, but no link is left out
-   that could join two components.
+   across components that survive the comparison are verified within their
+   tile. So a large group hands on a few links for each member and not all its
+   pairs, but no link is left out that could join two components.
 
 Defined cases: a text with fewer words than a shingle is one shingle; a text
 that is null, empty or white space only has no shingles and is linked with
@@ -49,6 +49,8 @@ HASHES, BATCH = 256, 64
 MISS = 1e-5
 #: Members of a bucket that are compared with each other in one tile.
 TILE = 1024
+#: Shingles of the members of a tile of the second round, about (16 MB).
+TILE_SHINGLES = 2_000_000
 #: Bytes of text that are split into words at once.
 SLICE_BYTES = 4_000_000
 #: So many ids (8 MB) are sent to every task; more are joined.
@@ -273,62 +275,98 @@ def _spanning(count: int, ones: np.ndarray, others: np.ndarray, matches: np.ndar
     return taken
 
 
-def _tile_pairs(members: DataFrame, across: bool) -> DataFrame:
-    """(a, b), a < b: pairs of tiles (key, tile, node, component, signature[, bands]) that survive.
+def _in_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+    """(rows, where tiles start, how many rows they have) of whole tiles (key, tile, …)."""
+    for group in _groups(batches, 2):
+        table = pa.Table.from_batches(group).combine_chunks()
+        key, tile = table.column(0).to_numpy(), table.column(1).to_numpy()
+        starts = np.flatnonzero((key[1:] != key[:-1]) | (tile[1:] != tile[:-1])) + 1
+        starts = np.concatenate([[0], starts])
+        yield table, starts, np.diff(np.append(starts, len(key)))
 
-    Without ``across`` the pairs that span each tile, else all pairs of
-    different components, each in the first bucket only that it shares.
-    """
+
+def _signatures(table: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, HASHES)
+
+
+def _as_pairs(node: np.ndarray, ones: np.ndarray, others: np.ndarray) -> pa.RecordBatch:
+    low, high = np.minimum(node[ones], node[others]), np.maximum(node[ones], node[others])
+    return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+
+
+def _spanning_pairs(members: DataFrame) -> DataFrame:
+    """(a, b), a < b: of each tile (key, tile, node, signature) the surviving pairs that span it."""
 
     def survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, 2):
-            table = pa.Table.from_batches(group).combine_chunks()
-            key, tile, node, component = (
-                table.column(i).to_numpy().astype(np.int64, copy=False) for i in range(4)
-            )
-            signs = np.frombuffer(b"".join(table.column(4).to_pylist()), np.uint8).reshape(-1, HASHES)
-            bands = None
-            if across:
-                flat = table.column(5).combine_chunks().flatten().to_numpy()
-                bands = flat.reshape(-1, BANDS)
-            change = (key[1:] != key[:-1]) | (tile[1:] != tile[:-1])
-            starts = np.concatenate([[0], np.flatnonzero(change) + 1])
-            sizes = np.diff(np.append(starts, len(key)))
-            ones, others = [], []
+        for table, starts, sizes in _in_tiles(batches):
+            node, signs = table.column("node").to_numpy(), _signatures(table)
             two = starts[sizes == 2]
-            two = two[component[two] != component[two + 1]]
-            if len(two):
-                alive, _ = compared(signs[two], signs[two + 1])
-                ones.append(two[alive])
-                others.append(two[alive] + 1)
+            alive = two[compared(signs[two], signs[two + 1])[0]] if len(two) else two
+            ones, others = [alive], [alive + 1]
             for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
                 found = []
                 for i in range(start, start + size - 1):
-                    rest = np.flatnonzero(component[i + 1 : start + size] != component[i]) + i + 1
-                    if len(rest):
-                        alive, matches = compared(signs[i][None], signs[rest])
-                        if len(alive):
-                            found.append((np.full(len(alive), i), rest[alive], matches))
-                if found:
-                    a, b, matches = (np.concatenate(x) for x in zip(*found))
-                    if not across:
-                        taken = _spanning(size, a - start, b - start, matches)
-                        a, b = a[taken], b[taken]
-                    ones.append(a)
-                    others.append(b)
-            if not ones:
-                continue
-            a, b = np.concatenate(ones), np.concatenate(others)
-            if across:
-                first = (bands[a] == bands[b]).argmax(axis=1)
-                own = bands[a, first] == key[a]
-                a, b = a[own], b[own]
-            low, high = np.minimum(node[a], node[b]), np.maximum(node[a], node[b])
-            yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
-
-    columns = ["key", "tile", "node", "component", "signature", *(["bands"] if across else [])]
+                    alive, matches = compared(signs[i][None], signs[i + 1 : start + size])
+                    found.append((np.full(len(alive), i), alive + i + 1, matches))
+                a, b, matches = (np.concatenate(x) for x in zip(*found))
+                taken = _spanning(size, a - start, b - start, matches)
+                ones.append(a[taken])
+                others.append(b[taken])
+            yield _as_pairs(node, np.concatenate(ones), np.concatenate(others))
+
+    dealt = members.select("key", "tile", "node", "signature").repartition("key", "tile")
+    sorted_ = dealt.sortWithinPartitions("key", "tile", "node")
+    return sorted_.mapInArrow(survivors, "a long, b long").filter("a < b").distinct()
+
+
+def _links_across(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b), a < b: links between components of each tile, as many as join what can be joined.
+
+    Tiles have the columns key, tile, node, component, signature, bands and
+    shingles. A pair is looked at in the first bucket only that it shares, and
+    verified on the spot, so that pairs which are nearly similar enough, of
+    which a group may have very many, need not be handed on.
+    """
+
+    def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, starts, sizes in _in_tiles(batches):
+            node, signs = table.column("node").to_numpy(), _signatures(table)
+            key, label = table.column("key").to_numpy(), table.column("component").to_numpy().copy()
+            bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+            sets = [np.frombuffer(value.as_buffer(), np.uint64) for value in table.column("shingles")]
+            length = np.array([len(x) for x in sets])
+            ones, others = [], []
+            for start, size in zip(starts.tolist(), sizes.tolist()):
+                end = start + size
+                for i in range(start, end - 1):
+                    rest = np.flatnonzero(label[i + 1 : end] != label[i]) + i + 1
+                    short, long = np.minimum(length[rest], length[i]), np.maximum(length[rest], length[i])
+                    rest = rest[100 * short >= percent * long]
+                    if not len(rest):
+                        continue
+                    alive, _ = compared(signs[i][None], signs[rest])
+                    rest = rest[alive]
+                    if not len(rest):
+                        continue
+                    same = bands[rest] == bands[i]
+                    rest = rest[bands[i][same.argmax(axis=1)] == key[i]]
+                    if not len(rest):
+                        continue
+                    own, theirs = sets[i], np.concatenate([sets[j] for j in rest])
+                    place = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+                    before = np.cumsum(length[rest]) - length[rest]
+                    both = np.add.reduceat((own[place] == theirs).astype(np.int64), before)
+                    similar = 100 * both >= percent * (length[rest] + len(own) - both)
+                    for j in rest[similar].tolist():
+                        if label[j] != label[i]:
+                            ones.append(i)
+                            others.append(j)
+                            label[start:end][label[start:end] == label[j]] = label[i]
+            yield _as_pairs(node, np.array(ones, np.int64), np.array(others, np.int64))
+
+    columns = ["key", "tile", "node", "component", "signature", "bands", "shingles"]
     dealt = members.select(*columns).repartition("key", "tile").sortWithinPartitions("key", "tile", "node")
-    return dealt.mapInArrow(survivors, "a long, b long").filter("a < b").distinct()
+    return dealt.mapInArrow(links, "a long, b long").filter("a < b").distinct()
 
 
 def near_duplicates(
@@ -356,6 +394,7 @@ def near_duplicates(
     members = settle(join_figures(banded, buckets, "key", "n"), "bucket-members")
     involved = settle(members.select("node").distinct(), "involved")
     sets = settle(_sets_of(docs, involved, id_col, text), "shingle-sets")
+    weights = sets.groupBy("node").agg(F.max(F.octet_length("shingles") / 8).alias("weight"))
     looks = settle(
         classes.select("node", "signature", "bands").join(involved, "node", "left_semi"), "signatures"
     )
@@ -363,25 +402,36 @@ def near_duplicates(
     # The most similar pairs that span the tiles; a large bucket falls into several tiles.
     tiles = F.ceil(F.col("n") / TILE)
     spanned = members.join(looks, "node").select(
-        "key", F.pmod(F.xxhash64("node", "key"), tiles).cast("int").alias("tile"), "node",
-        F.col("node").alias("component"), "signature",
-    )
-    tried = settle(_tile_pairs(spanned, across=False), "spanning-pairs")
+        "key", F.pmod(F.xxhash64("node", "key"), tiles).cast("int").alias("tile"), "node", "signature"
+    )
+    tried = settle(_spanning_pairs(spanned), "spanning-pairs")
     links = settle(_verified(tried, sets, percent), "links")
     first = settle(components(links), "components")
 
-    # What is still apart within a bucket, each tile against each other.
-    placed = members.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("_one"), F.max("component").alias("_other"))
-    open_ = placed.join(mixed.filter("_one <> _other").select("key"), "key", "left_semi")
-    own = F.pmod(F.xxhash64("node", "key"), tiles).cast("int")
-    other = F.explode(F.sequence(F.lit(0), (tiles - 1).cast("int")))
-    gridded = open_.withColumn("_own", own).withColumn("_other", other).withColumn(
-        "tile", F.least("_own", "_other") * tiles.cast("int") + F.greatest("_own", "_other")
+    # What is still apart within a bucket, each tile against each other. Buckets of two are settled.
+    placed = members.filter("n > 2").join(first, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
+    )
+    mixed = (
+        placed.join(weights, "node")
+        .groupBy("key")
+        .agg(F.min("component").alias("_one"), F.max("component").alias("_other"), F.sum("weight").alias("_weight"))
+        .filter("_one <> _other")
+        .select("key", F.ceil(F.greatest(F.col("_weight") / TILE_SHINGLES, F.lit(1))).alias("_tiles"))
+    )
+    tiles = F.greatest(tiles, F.col("_tiles")).cast("int")
+    own = F.pmod(F.xxhash64("node", "key"), F.col("_grid")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("_grid") - 1))
+    gridded = (
+        placed.join(mixed, "key")
+        .withColumn("_grid", tiles)
+        .withColumn("_own", own)
+        .withColumn("_other", other)
+        .withColumn("tile", F.least("_own", "_other") * F.col("_grid") + F.greatest("_own", "_other"))
+        .join(looks, "node")
+        .join(sets, "node")
     )
-    apart = _tile_pairs(gridded.join(looks, "node"), across=True)
-    more = settle(apart.join(tried, ["a", "b"], "left_anti"), "pairs-across")
-    joined = settle(_verified(more, sets, percent), "links-across")
+    joined = settle(_links_across(gridded, percent), "links-across")
 
     # The second round joins components of the first.
     def component_of(edges: DataFrame, side: str) -> DataFrame:
