@@ -1,8 +1,7 @@
 """K-Means by explicit steps, the MLlib estimators, and cluster reports.
 
 Feature columns hold number arrays or ``pyspark.ml`` vectors. Centroids live on
-the driver as a k x d array, and go to the tasks without the coordinates that
-are 0 in all of them.
+the driver, and go to the tasks, without the coordinates that are 0 in all of them.
 
 Deviations from the usual classroom form: documents are assigned on the same
 features as the fit used, exactly ``iters`` updates run, an empty cluster
@@ -19,7 +18,7 @@ import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vector, VectorUDT
+from pyspark.ml.linalg import SparseVector, Vector, VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,10 +27,6 @@ from pyspark.sql import Window as W
 _COUNT, _COST = -1, -2  # coordinates under which partial sums carry size and cost
 
 
-def _numbers(centroids) -> np.ndarray:
-    return np.asarray(centroids, dtype=np.float64)
-
-
 class _Block:
     """Feature vectors of one Arrow batch, dense or in compressed sparse rows."""
 
@@ -61,7 +56,7 @@ class _Block:
             ]
             self.columns = np.concatenate(parts)
 
-    def distances(self, centres: _Centres) -> np.ndarray:
+    def distances(self, centres: Centroids) -> np.ndarray:
         """Squared distance of every row to every centre, n x k."""
         out = np.empty((self.n, centres.k))
         if self.dense is not None:
@@ -88,19 +83,42 @@ class _Block:
         return cells // width, cells % width, np.bincount(inverse, self.values, len(cells))
 
 
-class _Centres:
-    """Centroids without the coordinates that are 0 in all of them."""
-
-    def __init__(self, centroids: np.ndarray):
-        self.k, self.d = centroids.shape
-        self.active = np.flatnonzero(centroids.any(axis=0))
-        self.filled = np.ascontiguousarray(centroids[:, self.active])
+class Centroids:
+    """k centroids of d coordinates, without the coordinates that are 0 in all of them."""
+
+    def __init__(self, k: int, d: int, active: np.ndarray, filled: np.ndarray):
+        self.k, self.d, self.active, self.filled = k, d, active, filled
+
+    @classmethod
+    def of(cls, centroids) -> Centroids:
+        """From rows of numbers or vectors, or centroids as they are."""
+        if isinstance(centroids, Centroids):
+            return centroids
+        rows = list(centroids)
+        d = max(len(row) for row in rows)
+        cells = [cls._cells(row) for row in rows]
+        active = np.unique(np.concatenate([index for index, _ in cells]))
+        filled = np.zeros((len(rows), len(active)))
+        for j, (index, values) in enumerate(cells):
+            filled[j, np.searchsorted(active, index)] = values
+        return cls(len(rows), d, active, filled)
+
+    @staticmethod
+    def _cells(row) -> tuple[np.ndarray, np.ndarray]:
+        if isinstance(row, SparseVector):
+            return row.indices[row.values != 0], row.values[row.values != 0]
+        values = np.asarray(row.toArray() if isinstance(row, Vector) else row, dtype=np.float64)
+        index = np.flatnonzero(values)
+        return index, values[index]
 
     def rows(self, d: int) -> np.ndarray:
         full = np.zeros((self.k, d))
         full[:, self.active] = self.filled
         return full
 
+    def __array__(self, dtype=None, copy=None) -> np.ndarray:
+        return self.rows(self.d).astype(dtype or np.float64, copy=False)
+
     def meet(
         self, rows: np.ndarray, values: np.ndarray, columns: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,8 +129,25 @@ class _Centres:
         hit = self.active[place] == columns
         return rows[hit], values[hit], place[hit]
 
-
-def _nearest(block: _Block, centres: _Centres, decimals: int) -> tuple[np.ndarray, np.ndarray]:
+    def moved(
+        self, sizes: np.ndarray, cluster: np.ndarray, index: np.ndarray, total: np.ndarray
+    ) -> tuple[Centroids, float]:
+        """The means from sizes and sums (cluster, coordinate, total), and the largest squared move.
+
+        An empty cluster stays where it is.
+        """
+        active = np.union1d(self.active, index).astype(np.int64)
+        before = np.zeros((self.k, len(active)))
+        before[:, np.searchsorted(active, self.active)] = self.filled
+        sums = np.zeros_like(before)
+        sums[cluster, np.searchsorted(active, index)] = total
+        after = np.where(sizes[:, None] > 0, sums / np.maximum(sizes, 1)[:, None], before)
+        shift = float(((after - before) ** 2).sum(axis=1).max())
+        used = after.any(axis=0)
+        return Centroids(self.k, self.d, active[used], np.ascontiguousarray(after[:, used])), shift
+
+
+def _nearest(block: _Block, centres: Centroids, decimals: int) -> tuple[np.ndarray, np.ndarray]:
     distance = block.distances(centres)
     # Rounding makes ties independent of the order of summation; the lowest index wins.
     label = np.round(distance, decimals).argmin(axis=1)
@@ -123,7 +158,7 @@ def kmeans_assign(
     df: DataFrame, centroids, features: str = "features", decimals: int = 9
 ) -> DataFrame:
     """Add ``cluster`` and ``sqdist``: the nearest centroid and the squared distance to it."""
-    centres = _Centres(_numbers(centroids))
+    centres = Centroids.of(centroids)
 
     @F.arrow_udf("cluster int, sqdist double")
     def nearest(column: pa.Array) -> pa.Array:
@@ -144,7 +179,7 @@ def distance_to_cluster(
     df: DataFrame, centroids, features: str = "features", cluster: str = "cluster"
 ) -> DataFrame:
     """Add ``sqdist`` to the centroid of the cluster a row already has."""
-    centres = _Centres(_numbers(centroids))
+    centres = Centroids.of(centroids)
 
     @F.arrow_udf("double")
     def distance(column: pa.Array, label: pa.Array) -> pa.Array:
@@ -198,7 +233,7 @@ def centroid_array(rows: DataFrame, features: str = "features") -> np.ndarray:
 
 def kmeans_update(assigned: DataFrame, centroids, features: str = "features") -> DataFrame:
     """(cluster, n, centroid): the mean of each cluster; an empty one keeps its centroid."""
-    centres = _numbers(centroids)
+    centres = np.asarray(centroids, dtype=np.float64)
     is_vector = isinstance(assigned.schema[features].dataType, VectorUDT)
     vector: Column = F.col(features) if is_vector else array_to_vector(F.col(features))
     means = assigned.groupBy("cluster").agg(
@@ -215,10 +250,12 @@ def kmeans_update(assigned: DataFrame, centroids, features: str = "features") ->
     )
 
 
-def _step(data: DataFrame, centroids: np.ndarray, decimals: int) -> tuple[np.ndarray, float]:
-    """One assignment and update in a single pass; tasks hand on sums, not rows."""
-    k = len(centroids)
-    centres = _Centres(centroids)
+def _step(data: DataFrame, centres: Centroids, decimals: int) -> tuple[Centroids, float, float]:
+    """One assignment and update in a single pass; tasks hand on sums, not rows.
+
+    Gives the new centroids, the largest squared move and the cost before.
+    """
+    k = centres.k
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,18 +276,14 @@ def _step(data: DataFrame, centroids: np.ndarray, decimals: int) -> tuple[np.nda
             )
 
     parts = data.mapInArrow(partial, "cluster int, idx int, s double")
-    # At most k * (d + 2) rows, the size of the centroids.
+    # The sums of the coordinates that occur, the size of the centroids.
     summed = parts.groupBy("cluster", "idx").agg(F.sum("s").alias("s")).toArrow()
     cluster, index, s = (summed.column(i).to_numpy() for i in range(3))
     sizes = np.zeros(k)
     sizes[cluster[index == _COUNT]] = s[index == _COUNT]
-    sums = np.zeros_like(centroids)
     cell = index >= 0
-    sums[cluster[cell], index[cell]] = s[cell]
-    filled = sizes > 0
-    moved = centroids.copy()
-    moved[filled] = sums[filled] / sizes[filled, None]
-    return moved, float(s[index == _COST].sum())
+    moved, shift = centres.moved(sizes, cluster[cell], index[cell], s[cell])
+    return moved, shift, float(s[index == _COST].sum())
 
 
 def kmeans_lloyd(
@@ -262,20 +295,19 @@ def kmeans_lloyd(
     features: str = "features",
     tol: float = 0.0,
     decimals: int = 9,
-) -> tuple[np.ndarray, list[float]]:
+) -> tuple[Centroids, list[float]]:
     """Centroids after ``iters`` updates and the cost before each of them.
 
     Stops early once no centroid moves by more than ``tol``, if ``tol`` is positive.
     """
     data = df.select(id_col, features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        centres = _numbers(centroid_array(kmeans_seed(data, id_col, k, seed, features), features))
+        seeds = kmeans_seed(data, id_col, k, seed, features).select("cluster", features).collect()
+        centres = Centroids.of(row[features] for row in sorted(seeds, key=lambda row: row["cluster"]))
         costs: list[float] = []
         for _ in range(iters):
-            moved, cost = _step(data.select(features), centres, decimals)
+            centres, shift, cost = _step(data.select(features), centres, decimals)
             costs.append(cost)
-            shift = float(((moved - centres) ** 2).sum(axis=1).max())
-            centres = moved
             if tol > 0 and shift <= tol * tol:
                 break
         return centres, costs

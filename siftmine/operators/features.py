@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.ml.feature import IDF, HashingTF
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from siftmine.functions.text import split_tokens
 
@@ -37,3 +38,30 @@ def term_idf(docs: DataFrame, min_df: int = 1) -> DataFrame:
         .filter(F.col("df") >= min_df)
         .select("term", "df", F.log((m + 1) / (F.col("df") + 1)).alias("idf"))
     )
+
+
+def vocabulary(docs: DataFrame, n: int) -> DataFrame:
+    """(term, place, idf): the ``n`` terms in most documents, ties by term, numbered from 0."""
+    common = term_idf(docs).orderBy(F.desc("df"), "term").limit(n)
+    # No more than n rows.
+    place = F.row_number().over(W.orderBy(F.desc("df"), "term")) - 1
+    return common.select("term", place.alias("place"), "idf")
+
+
+def vocabulary_tf(
+    docs: DataFrame, terms: DataFrame, n: int, weighting: str = "tf", id_col: str = "doc_id"
+) -> DataFrame:
+    """Add an array with the counts of the ``terms`` (term, place, idf), times the idf for ``tfidf``."""
+    weight = F.col("idf") if weighting == "tfidf" else F.lit(1.0)
+    counts = (
+        docs.select(F.col(id_col).alias("_id"), F.explode("tokens").alias("term"))
+        .join(F.broadcast(terms), "term")
+        .groupBy("_id", "place")
+        .agg((F.count(F.lit(1)) * F.first(weight)).alias("_n"))
+        .groupBy("_id")
+        .agg(F.map_from_entries(F.collect_list(F.struct("place", "_n"))).alias("_counts"))
+    )
+    every = F.sequence(F.lit(0), F.lit(n - 1))
+    values = F.transform(every, lambda i: F.coalesce(F.try_element_at("_counts", i), F.lit(0.0)))
+    joined = docs.join(counts, F.col(id_col) == F.col("_id"), "left")
+    return joined.withColumn(weighting, values).drop("_id", "_counts")

@@ -17,7 +17,7 @@ from siftmine.operators.clustering import (
     kmeans_lloyd,
 )
 from siftmine.operators.factors import ITERS, RANK, REG, als_fit, als_predict
-from siftmine.operators.features import hashed_tf, tfidf
+from siftmine.operators.features import hashed_tf, tfidf, vocabulary, vocabulary_tf
 from siftmine.operators.itemsets import frequent_itemsets, itemset_report, son_itemsets
 from siftmine.operators.recommend import (
     item_cf_predict,
@@ -119,14 +119,23 @@ def lloyd_report(
     num_features: int = 2**20,
     seed: int = CLUSTER_SEED,
     id_col: str = "doc_id",
+    terms: int | None = None,
 ) -> DataFrame:
-    """Cluster ``docs`` (id, tokens) by explicit K-Means steps on term counts or TF-IDF."""
+    """Cluster ``docs`` (id, tokens) by explicit K-Means steps on term counts or TF-IDF.
+
+    Terms are hashed, or with ``terms`` are those of that many most frequent ones.
+    """
     if weighting not in ("tf", "tfidf"):
         raise ValueError("weighting must be 'tf' or 'tfidf'")
-    # Dealt out by id, as each row is read many times.
-    features = settle(hashed_tf(docs.repartition(id_col), num_features), "features")
-    if weighting == "tfidf":
-        features = settle(tfidf(features), "features")
+    if terms:
+        docs = settle(docs, "tokens")
+        known = settle(vocabulary(docs, terms), "vocabulary")
+        features = settle(vocabulary_tf(docs, known, terms, weighting, id_col), "features")
+    else:
+        # Dealt out by id, as each row is read many times.
+        features = settle(hashed_tf(docs.repartition(id_col), num_features), "features")
+        if weighting == "tfidf":
+            features = settle(tfidf(features), "features")
     centres, _ = kmeans_lloyd(features, k, iters, seed, id_col, weighting)
     return _report(kmeans_assign(features, centres, weighting), "K-Means")
 

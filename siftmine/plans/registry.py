@@ -495,6 +495,24 @@ def lloyd_report_tfidf(spark, folder):
     return _flat_report(jobs.lloyd_report(inputs.documents(spark, folder), 5, 20, "tfidf"))
 
 
+def _terms_report(spark, folder, weighting):
+    docs = inputs.documents(spark, folder)
+    report = jobs.lloyd_report(
+        docs, sql.CLUSTERS, sql.CLUSTER_ITERS, weighting, seed=sql.SEED, terms=sql.TERMS
+    )
+    return _flat_report(report)
+
+
+@query
+def lloyd_report_terms_tf(spark, folder):
+    return _terms_report(spark, folder, "tf")
+
+
+@query
+def lloyd_report_terms_tfidf(spark, folder):
+    return _terms_report(spark, folder, "tfidf")
+
+
 @query
 def kmeans_report(spark, folder):
     return _flat_report(jobs.mllib_report(inputs.documents(spark, folder), 8, 20, "kmeans"))

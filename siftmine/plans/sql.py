@@ -9,6 +9,7 @@ EVENT_TYPES = 5
 K = 8
 ITERS = 3
 SEED = 7
+CLUSTERS, CLUSTER_ITERS, TERMS = 5, 20, 32
 SAMPLE = 100
 BITS = 1024
 PREFIX = "th"
@@ -178,18 +179,22 @@ tokens AS (
 VECTORS = """
 vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)"""
 
-SEEDS = f"""{VECTORS},
+def _seeds(vectors: str, k: int) -> str:
+    return f"""{vectors},
 seeds AS (
   SELECT CAST(row_number() OVER (ORDER BY k, vec_id) - 1 AS INTEGER) AS cluster, vec_id, x
   FROM (
     SELECT vec_id, x, k, row_number() OVER (PARTITION BY x ORDER BY k, vec_id) AS copy
     FROM (SELECT vec_id, x, md5(CAST(vec_id AS VARCHAR) || '-{SEED}') AS k FROM vectors))
-  WHERE copy = 1 ORDER BY k, vec_id LIMIT {K})"""
+  WHERE copy = 1 ORDER BY k, vec_id LIMIT {k})"""
+
+
+SEEDS = _seeds(VECTORS, K)
 
 
 def _assign(name: str, centres: str) -> str:
     return f"""
-{name} AS (
+{name} AS MATERIALIZED (
   SELECT vec_id, x, cluster, d FROM (
     SELECT v.vec_id, v.x, c.cluster, pow(list_distance(v.x, c.x), 2) AS d,
       row_number() OVER (PARTITION BY v.vec_id
@@ -204,7 +209,7 @@ def _update(name: str, assigned: str, centres: str) -> str:
   SELECT cluster, dim, avg(value) AS value, count(*) AS n FROM (
     SELECT cluster, unnest(range(len(x))) AS dim, unnest(x) AS value FROM {assigned})
   GROUP BY cluster, dim),
-{name} AS (
+{name} AS MATERIALIZED (
   SELECT c.cluster, coalesce(u.x, c.x) AS x, coalesce(u.n, 0) AS n FROM {centres} c LEFT JOIN (
     SELECT cluster, list(value ORDER BY dim) AS x, max(n) AS n
     FROM {name}_cells GROUP BY cluster) u USING (cluster))"""
@@ -213,14 +218,44 @@ def _update(name: str, assigned: str, centres: str) -> str:
 ASSIGNED = f"{SEEDS},{_assign('assigned', 'seeds')}"
 
 
-def _lloyd() -> str:
-    steps, centres = [SEEDS], "seeds"
-    for i in range(1, ITERS + 1):
+def _lloyd(seeds: str, iters: int) -> str:
+    steps, centres = [seeds], "seeds"
+    for i in range(1, iters + 1):
         steps += [_assign(f"a{i}", centres), _update(f"c{i}", f"a{i}", centres)]
         centres = f"c{i}"
     return ",".join([*steps, _assign("final", centres)])
 
 
+def _terms_report(weight: str) -> str:
+    """The report of K-Means on the counts of the most frequent terms."""
+    vectors = f"""{TOKENS},
+vocabulary AS MATERIALIZED (
+  SELECT term, row_number() OVER (ORDER BY df DESC, term) - 1 AS place,
+    ln(((SELECT count(*) FROM tokens) + 1) / (df + 1)) AS idf
+  FROM (SELECT term, count(*) AS df FROM (
+      SELECT unnest(list_distinct(tokens)) AS term FROM tokens) GROUP BY term)
+  ORDER BY df DESC, term LIMIT {TERMS}),
+counts AS (
+  SELECT doc_id, place, count(*) AS n FROM (SELECT doc_id, unnest(tokens) AS term FROM tokens)
+  JOIN vocabulary USING (term) GROUP BY ALL),
+vectors AS MATERIALIZED (
+  SELECT doc_id AS vec_id, list(coalesce(n, 0) * CAST({weight} AS DOUBLE) ORDER BY place) AS x
+  FROM (SELECT doc_id, place, idf FROM tokens CROSS JOIN vocabulary)
+  LEFT JOIN counts USING (doc_id, place) GROUP BY doc_id)"""
+    return f"""WITH {_lloyd(_seeds(vectors, CLUSTERS), CLUSTER_ITERS)},
+best AS (
+  SELECT cluster, string_agg(term, ',' ORDER BY rn) AS terms FROM (
+    SELECT cluster, term,
+      row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, term) AS rn
+    FROM (SELECT cluster, unnest(tokens) AS term FROM final JOIN tokens ON vec_id = doc_id)
+    GROUP BY cluster, term)
+  WHERE rn <= 10 GROUP BY cluster)
+SELECT 'K-Means' AS algorithm, (SELECT round(sum(d), 4) FROM final) AS wsse, cluster AS id,
+  size, round(error, 4) AS error, coalesce(terms, '') AS terms
+FROM (SELECT cluster, count(*) AS size, sum(d) AS error FROM final GROUP BY cluster)
+LEFT JOIN best USING (cluster)"""
+
+
 LABELLED = f"""{TOKENS},
 labelled AS (
   SELECT doc_id, quality * 2 + toxic AS cluster, n_chars / 1000.0e0 AS x, tokens.tokens
@@ -439,7 +474,7 @@ ORACLE: dict[str, str] = {
     "kmeans_update": f"""WITH {ASSIGNED},{_update('moved', 'assigned', 'seeds')}
       SELECT cluster, n, CAST(dim AS INTEGER) AS dim, round(value, 6) + 0.0e0 AS value FROM (
         SELECT cluster, n, unnest(range(len(x))) AS dim, unnest(x) AS value FROM moved)""",
-    "kmeans_lloyd": f"WITH {_lloyd()} SELECT vec_id, cluster, round(d, 6) AS sqdist FROM final",
+    "kmeans_lloyd": f"WITH {_lloyd(SEEDS, ITERS)} SELECT vec_id, cluster, round(d, 6) AS sqdist FROM final",
     "cluster_summary": f"""WITH {ASSIGNED} SELECT cluster, count(*) AS size,
       round(sum(d), 6) AS error FROM assigned GROUP BY cluster""",
     "cluster_terms": f"""WITH {TOKENS} SELECT cluster, CAST(rank AS INTEGER) AS rank, term, n
@@ -448,6 +483,8 @@ ORACLE: dict[str, str] = {
         FROM (SELECT lang, unnest(tokens) AS term FROM tokens) GROUP BY lang, term)
       WHERE rank <= 10""",
     "cluster_report": f"WITH {LABELLED} SELECT * FROM report",
+    "lloyd_report_terms_tf": _terms_report("1"),
+    "lloyd_report_terms_tfidf": _terms_report("idf"),
     "extract_tags": f"""WITH {TEXTS},{_tags_of('texts')}
       SELECT event_id, CAST(pos AS INTEGER) AS pos, tag FROM (
         SELECT event_id, unnest(range(len(tags))) AS pos, unnest(tags) AS tag FROM tag_lists)""",

@@ -63,7 +63,7 @@ SOURCES = [p for p in sorted((ROOT / "siftmine").rglob("*.py")) if "llm" not in
 
 # Reads to the driver, each of a table whose size is bounded by a parameter or a single row.
 TO_DRIVER = {
-    "operators/clustering.py": 3,
+    "operators/clustering.py": 4,
     "operators/features.py": 1,
     "operators/ids.py": 1,
     "operators/itemsets.py": 1,
