@@ -12,6 +12,8 @@ import __spark_entry__ as entry_points
 import corpus_pipeline
 from siftmine.llm.registry import ORACLE, QUERIES
 
+from .helpers import EDGES, frame
+
 FOLDER = "/root/testdata/sf0.001"
 ROOT = Path(__file__).resolve().parents[2]
 NATIVE = ("op3_exact_dedup", "op6_source_mix", "op8_uniform_shards")
@@ -110,6 +112,20 @@ def test_stages(spark, tmp_path):
         assert at <= 1024
 
 
+@pytest.mark.parametrize("rows", [EDGES, []], ids=["edges", "empty"])
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES, ids=[n for n, _ in corpus_pipeline.STAGES])
+def test_stages_on_awkward_tables(spark, name, stage, rows):
+    docs = frame(spark, rows)
+    found = stage(spark, docs, FOLDER)
+    result = found.collect()
+    if name != "best-fit packing":
+        assert found.schema == docs.schema
+    if name in ("quality classifier", "best-fit packing"):
+        # No text here is worse than the trusted ones; each row is packed.
+        assert {r["doc_id"] for r in result} >= {r[0] for r in rows if not r[1]}
+    assert bool(rows) == bool(result)
+
+
 @pytest.mark.parametrize("path", sorted((ROOT / "siftmine" / "llm").glob("*.py")), ids=lambda p: p.name)
 def test_sources_keep_to_the_rules(path):
     text = path.read_text()
