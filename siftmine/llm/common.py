@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from siftmine.operators.skew import settle
 
-__all__ = ["HOT_SHARE", "hash_unit", "join_figures", "numbered", "place_in_partition", "settle", "uncommon"]
+__all__ = ["HOT_SHARE", "hash_unit", "join_figures", "numbered", "place_in_partition", "settle", "small_batches", "uncommon"]
 
 #: A key with more than one in so many rows is hot; so no more than this many keys are.
 HOT_SHARE = 1_000
@@ -17,6 +17,17 @@ HOT_SHARE = 1_000
 _POSITION = (1 << 33) - 1
 
 
+#: Bytes of an Arrow batch, so that long texts come in few rows at a time.
+BATCH_BYTES = "8MB"
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session cut Arrow batches by their bytes, unless it has a setting of its own."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
+
+
 def uncommon(name: str, *frames: DataFrame) -> str:
     """``name``, with underscores in front until no frame has such a column (in any case)."""
     taken = {column.lower() for frame in frames for column in frame.columns}

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from siftmine.llm.common import numbered, settle
+from siftmine.llm.common import numbered, settle, small_batches
 
 SCALE = 1024
 BLOCK_ROWS = 512
@@ -182,6 +182,7 @@ def top_k(
     vector: str = "embedding",
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row that ``is_query`` the ``k`` highest scores, ties to the smaller id."""
+    small_batches(vectors.sparkSession)
     rows = vectors.filter(F.col(id_col).isNotNull() & usable(F.col(vector))).select(
         F.col(id_col).cast("long").alias("vec_id"),
         whole_numbers(F.col(vector)).alias("vector"),

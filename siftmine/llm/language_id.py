@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from siftmine.llm.common import uncommon
+from siftmine.llm.common import small_batches, uncommon
 
 SAMPLE_DOCS = 256
 SAMPLE_CHARS = 512
@@ -116,6 +116,7 @@ class Compressors:
 
 def predict(docs: DataFrame, model: dict[str, bytes], text: str = "text") -> DataFrame:
     """``docs`` with lang_pred, score (0 to 1) and accepted."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     ready: list[Compressors] = []
 

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftmine.llm.common import small_batches
+
 # Base phrases and their labels.
 BASE_PHRASES = {
     "gnu general public license": "gpl",
@@ -167,6 +169,7 @@ def scan(
     """
     if block_words < 2 or not 0 < threshold <= 1:
         raise ValueError("blocks need two words at least, and a threshold above 0 and up to 1")
+    small_batches(docs.sparkSession)
     listed = [(label, line) for label, lines in templates.items() for line in lines]
     vocabulary = {word for _, line in listed for word in words_of(line)}
     # At most one row for each word of the templates.

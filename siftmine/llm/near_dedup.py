@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftmine.llm.common import join_figures, settle
+from siftmine.llm.common import join_figures, settle, small_batches
 from siftmine.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -375,6 +375,7 @@ def near_duplicates(
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``."""
     if percent != PERCENT:
         raise ValueError(f"bands and bounds are made for {PERCENT} percent")
+    small_batches(docs.sparkSession)
     rows = settle(_described(docs, id_col, text), "described")
     usable = F.col("digest").isNotNull() & F.col("doc_id").isNotNull()
     least = F.min(F.struct("doc_id", "bands", "signature")).alias("_least")

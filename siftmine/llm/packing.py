@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftmine.llm.common import numbered, settle, uncommon
+from siftmine.llm.common import numbered, settle, small_batches, uncommon
 from siftmine.llm.vocabulary import BYTE_BPE, fast_encoder, plain_encoder
 
 CAPACITY = 1024
@@ -63,6 +63,7 @@ def token_pieces(
     The first piece of a cut text takes the remainder, so all others are full.
     ``ids`` are little-endian unsigned 32-bit numbers.
     """
+    small_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,6 +218,7 @@ def pack(
 
     ``order_by`` orders pieces of one length; ``length`` is from 1 to ``capacity``.
     """
+    small_batches(pieces.sparkSession)
     pieces = settle(pieces, "pieces")
     # One row for each length up to the capacity.
     counted = pieces.groupBy(length).agg(F.count(F.lit(1)).alias("n")).collect()

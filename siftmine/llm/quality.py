@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftmine.llm.common import settle, uncommon
+from siftmine.llm.common import settle, small_batches, uncommon
 
 ORDER = 5
 #: A symbol is a byte and one, or 0 before the text begins.
@@ -105,6 +105,7 @@ def ngram_counts(docs: DataFrame, text: str, counts: str) -> DataFrame:
                     size = 0
         yield from flush()
 
+    small_batches(docs.sparkSession)
     counted = docs.select(text, F.coalesce(counts, F.lit(False))).mapInArrow(count, "gram long, n long")
     return counted.groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -185,6 +186,7 @@ def _is_trusted(docs: DataFrame, labels: DataFrame, id_col: str, name: str) -> D
 
 def _sums(docs: DataFrame, model_costs: DataFrame, sent: bool, text: str, cost: str) -> DataFrame:
     """``docs`` with the sum of the costs of the text's n-grams in ``cost``."""
+    small_batches(docs.sparkSession)
     if sent:
         table = model_costs.orderBy("gram").toArrow()
         grams, costs = (table.column(i).to_numpy() for i in (0, 1))

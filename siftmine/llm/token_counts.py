@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftmine.llm.common import small_batches
 from siftmine.llm.vocabulary import BYTE_BPE, byte_letters, read_json, special_tokens
 
 VOCABULARY = f"{BYTE_BPE}.json"
@@ -420,6 +421,7 @@ def with_token_counts(
     docs: DataFrame, text: str = "text", limit: int = LIMIT, vocabulary: str = VOCABULARY
 ) -> DataFrame:
     """``docs`` with n_bytes, n_tokens and over_limit; columns of these names are replaced."""
+    small_batches(docs.sparkSession)
     counted = docs.withColumns(
         {
             "n_bytes": F.coalesce(F.octet_length(text), F.lit(0)).cast("long"),
