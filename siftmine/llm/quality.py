@@ -49,7 +49,7 @@ BROADCAST_LANGUAGES = 10_000
 #: Share of the trusted documents of a language that may be rejected.
 REJECTED = 0.005
 #: By how much a document may be worse than the quantile, as a share of its cross-entropy.
-SLACK = 0.02
+SLACK = 0.05
 PRIOR_BYTES = 200
 #: Trusted documents that a language needs for a threshold of its own.
 MIN_DOCUMENTS = 50
