@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from siftmine.llm.common import small_batches, uncommon
+from siftmine.llm.common import settle, small_batches, uncommon
 
 SAMPLE_DOCS = 256
 SAMPLE_CHARS = 512
@@ -38,6 +38,8 @@ MATCHING = {"window_log": 18, "chain_log": 17, "hash_log": 17, "search_log": 4,
 #: The runner-up must be larger by this share for a choice to be accepted.
 MARGIN = 0.01
 UNKNOWN = "und"
+#: Counts of so many languages are sent to every task; more are joined.
+BROADCAST_LANGUAGES = 10_000
 
 
 def fit(
@@ -49,26 +51,36 @@ def fit(
         F.col(text).alias("text"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("rank"),
     ).filter("lang is not null and length(trim(text)) > 0")
+    counts = settle(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    languages = counts.count()
+    few = languages <= BROADCAST_LANGUAGES
+    # With very many languages each gets fewer documents, so that all fit the model.
+    sample_docs = max(1, min(SAMPLE_DOCS, MODEL_BYTES // (SAMPLE_CHARS * max(1, languages))))
+    # Ranks are evenly spread, so the smallest lie below a share of them; the rest need not be compared.
+    place = F.conv(F.substring("rank", 1, 13), 16, 10).cast("double") / float(1 << 52)
+    near = rows.join(F.broadcast(counts) if few else counts, "lang").filter(
+        place <= 4.0 * SAMPLE_DOCS / F.col("n")
+    )
     # The middle of the text, so that what many texts begin or end with counts less.
     start = F.greatest(F.lit(1), F.floor((F.length("text") - SAMPLE_CHARS) / 2).cast("int"))
     piece = F.substr("text", start, F.lit(SAMPLE_CHARS))
     best = F.row_number().over(W.partitionBy("lang").orderBy("rank", "text"))
-    # One row for each language.
-    counts = {row["lang"]: row["n"] for row in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()}
     sample = (
-        rows.select("lang", "rank", piece.alias("text"))
+        near.select("lang", "rank", "n", piece.alias("text"))
         .withColumn("place", best)
-        .filter(F.col("place") <= SAMPLE_DOCS)
+        .filter(F.col("place") <= sample_docs)
         .orderBy("lang", "place")
         .toArrow()
     )
     pieces: dict[str, list[str]] = {}
-    for name, value in zip(sample.column("lang").to_pylist(), sample.column("text").to_pylist()):
+    learned: dict[str, int] = {}
+    for name, n, value in zip(*(sample.column(c).to_pylist() for c in ("lang", "n", "text"))):
         pieces.setdefault(name, []).append(value)
+        learned[name] = n
     room = min(DICTIONARY_BYTES, MODEL_BYTES // max(1, len(pieces)))
     return {
         name: "\n".join(pieces[name]).encode("utf-8", "surrogatepass")[:room]
-        for name in sorted(pieces, key=lambda name: (-counts[name], name))
+        for name in sorted(pieces, key=lambda name: (-learned[name], name))
     }
 
 
