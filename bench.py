@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from siftmine.plans.registry import QUERIES
@@ -13,6 +14,7 @@ from siftmine.session import build_session
 HEADLINE = [
     "group_stats",
     "group_count_with_total",
+    "partition_profile",
     "dense_ids",
     "item_pair_similarity",
     "item_cf_predict",
@@ -27,6 +29,7 @@ HEADLINE = [
     "kmeans_lloyd",
     "kmeans_report",
     "lloyd_report_tf",
+    "lloyd_report_terms_tf",
     "reservoir_stats",
     "bloom_audit",
     "stream_bloom",
@@ -43,6 +46,7 @@ def main(names: list[str]) -> None:
         spark__sql__shuffle__partitions=cpus,
         spark__driver__memory="16g",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="siftmine-bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
     # Start the executor's code paths before the clock runs.

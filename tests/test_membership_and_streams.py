@@ -139,6 +139,15 @@ def test_stream_goes_on_after_a_restart(spark, source, tmp_path):
     assert last == membership.bloom_audit(tags, ["event_id", "pos"], 64).first().asDict()
 
 
+def test_timed_batches(spark, source, tmp_path):
+    _, stream = source(_texts(5), [100, 140])
+    state = str(tmp_path / "state")
+    query = streams.stream_reservoir(stream, state, available_now=False)
+    query.processAllAvailable()
+    query.stop()
+    assert streams.batch_metrics(spark, state, 1).first()["texts_seen"] == 240
+
+
 def test_batches_can_run_twice(spark, tmp_path):
     """Every batch is run two times, as after a failure just before its commit."""
     table = VersionedTable(spark, str(tmp_path / "small"), "n long")
