@@ -219,10 +219,13 @@ def pack(
     ``order_by`` orders pieces of one length; ``length`` is from 1 to ``capacity``.
     """
     small_batches(pieces.sparkSession)
-    pieces = settle(pieces, "pieces")
+    row = uncommon("row", pieces)
+    pieces = settle(
+        pieces.drop("sequence_id", "offset").withColumn(row, F.monotonically_increasing_id()), "pieces"
+    )
     # One row for each length up to the capacity.
     counted = pieces.groupBy(length).agg(F.count(F.lit(1)).alias("n")).collect()
-    counts = {row[0]: row[1] for row in counted}
+    counts = {line[0]: line[1] for line in counted}
     runs = _runs(packing_plan(counts, capacity))
     sizes = sorted(counts)
     before = dict(zip(sizes, [0, *accumulate(counts[size] for size in sizes)]))
@@ -239,14 +242,15 @@ def pack(
             offset[own] = run[at, 2]
         return pa.StructArray.from_arrays([pa.array(sequence), pa.array(offset)], ["sequence_id", "offset"])
 
+    # Lengths and orders are sorted alone; what a piece carries moves once, to its place.
     index, placed = uncommon("index", pieces), uncommon("placed", pieces)
-    return (
-        numbered(pieces, [length, *order_by], index, "numbered-pieces")
+    narrow = pieces.select(row, *dict.fromkeys([length, *order_by]))
+    places = (
+        numbered(narrow, [length, *order_by], index, "numbered-pieces")
         .withColumn(placed, place(length, index))
-        .withColumn("sequence_id", F.col(f"{placed}.sequence_id"))
-        .withColumn("offset", F.col(f"{placed}.offset"))
-        .drop(index, placed)
+        .select(row, f"{placed}.sequence_id", f"{placed}.offset")
     )
+    return pieces.join(places, row).drop(row)
 
 
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
