@@ -2,8 +2,11 @@
 
 The model is an interpolated modified Kneser-Ney model over the bytes of the
 text, five at a time. A fifth of the trusted documents is kept out of the
-counts; the perplexities of those, by language, give the quantile that a
-document must not exceed.
+counts. A document's excess is what its cross-entropy is above the median of
+those of its language, times the square root of its length, as the mean of many
+bytes varies less than that of few; so a few insults count in a long text too.
+The excesses of those kept out, by language, give the quantile that a document
+must not exceed.
 
 N-grams are whole numbers. Tasks count them batch by batch, so what is
 shuffled are distinct n-grams and their counts, over all trusted text, next to
@@ -46,10 +49,10 @@ SLICE_BYTES = 2_000_000
 BROADCAST_NGRAMS = 4_000_000
 BROADCAST_IDS = 1_000_000
 BROADCAST_LANGUAGES = 10_000
+#: By how much sums in another order may differ.
+ROUNDING = 1e-9
 #: Share of the trusted documents of a language that may be rejected.
 REJECTED = 0.005
-#: By how much a document may be worse than the quantile, as a share of its cross-entropy.
-SLACK = 0.05
 PRIOR_BYTES = 200
 #: Trusted documents that a language needs for a threshold of its own.
 MIN_DOCUMENTS = 50
@@ -161,12 +164,13 @@ def probabilities(counts: DataFrame) -> DataFrame:
 
 @dataclass
 class QualityModel:
-    """Cost (-log p) of every n-gram of a corpus, and the largest cost of a byte by language."""
+    """Cost (-log p) of every n-gram of a corpus, and the usual cost of a byte and the largest excess by language."""
 
     costs: DataFrame  # gram, cost
     usual: float  # mean cost of a byte of trusted text
-    limits: DataFrame  # lang, max_cost
-    limit: float  # of languages without one
+    limits: DataFrame  # lang, middle, max_excess
+    middle: float  # of languages without one
+    max_excess: float
     sent: bool = True
 
 
@@ -248,39 +252,62 @@ def fit(
     usual = usual or 0.0
     checked = flagged.filter(F.col("trusted") & kept_out)
     scored = settle(
-        _sums(checked, costs, sent, "text", "cost").select("lang", _smoothed("cost", "text", usual).alias("cost")),
+        _sums(checked, costs, sent, "text", "cost").select(
+            "lang", _smoothed("cost", "text", usual).alias("cost"), _weight("text").alias("weight")
+        ),
         "calibration",
     )
-    quantile = F.percentile_approx("cost", 1 - rejected, 10_000)
-    limits = settle(
+    median = F.percentile_approx("cost", 0.5, 10_000)
+    middles = settle(
         scored.groupBy("lang")
-        .agg(quantile.alias("max_cost"), F.count(F.lit(1)).alias("n"))
+        .agg(median.alias("middle"), F.count(F.lit(1)).alias("n"))
         .filter(F.col("n") >= MIN_DOCUMENTS)
-        .select("lang", (F.col("max_cost") * (1 + SLACK)).alias("max_cost")),
+        .select(F.col("lang").alias("own"), "middle"),
+        "middles",
+    )
+    middles = F.broadcast(middles) if middles.count() <= BROADCAST_LANGUAGES else middles
+
+    def quantile(middle: Column) -> Column:
+        return F.percentile_approx((F.col("cost") - middle) * F.col("weight"), 1 - rejected, 10_000)
+
+    limits = settle(
+        scored.join(middles, F.col("lang").eqNullSafe(F.col("own")))
+        .groupBy("lang", "middle")
+        .agg(quantile(F.col("middle")).alias("max_excess")),
         "limits",
     )
-    limit = scored.agg(quantile).first()[0]
-    return QualityModel(costs, usual, limits, math.inf if limit is None else limit * (1 + SLACK), sent)
+    middle = scored.agg(median).first()[0]
+    if middle is None:
+        return QualityModel(costs, usual, limits, 0.0, math.inf, sent)
+    max_excess = scored.agg(quantile(F.lit(middle))).first()[0]
+    return QualityModel(costs, usual, limits, middle, max_excess, sent)
 
 
 def _smoothed(cost: str, text: str, usual: float) -> Column:
     return (F.col(cost) + PRIOR_BYTES * usual) / (_bytes(text) + PRIOR_BYTES)
 
 
+def _weight(text: str) -> Column:
+    return F.sqrt(_bytes(text) + PRIOR_BYTES)
+
+
 def score(docs: DataFrame, model: QualityModel, text: str = "text", lang: str = "lang") -> DataFrame:
     """``docs`` with perplexity (per byte), max_perplexity and kept."""
-    key, limit, cost = (uncommon(name, docs) for name in ("limit_lang", "limit", "cost"))
-    limits = model.limits.select(F.col("lang").alias(key), F.col("max_cost").alias(limit))
+    key, limit, excess, cost = (uncommon(name, docs) for name in ("limit_lang", "limit", "excess", "cost"))
+    limits = model.limits.select(
+        F.col("lang").alias(key), F.col("middle").alias(limit), F.col("max_excess").alias(excess)
+    )
     limits = F.broadcast(limits) if limits.count() <= BROADCAST_LANGUAGES else limits
     limited = docs.join(limits, F.col(lang).eqNullSafe(F.col(key)), "left").drop(key)
     summed = _sums(limited, model.costs, model.sent, text, cost)
+    most = F.coalesce(limit, F.lit(model.middle)) + F.coalesce(excess, F.lit(model.max_excess)) / _weight(text)
     return (
         summed.withColumn(cost, _smoothed(cost, text, model.usual))
-        .withColumn(limit, F.coalesce(limit, F.lit(model.limit)))
-        .withColumn("kept", F.col(cost) <= F.col(limit))
+        .withColumn(limit, most)
+        .withColumn("kept", F.col(cost) <= F.col(limit) + ROUNDING)
         .withColumn("perplexity", F.exp(cost))
         .withColumn("max_perplexity", F.exp(limit))
-        .drop(cost, limit)
+        .drop(cost, limit, excess)
     )
 
 

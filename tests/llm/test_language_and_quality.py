@@ -118,6 +118,16 @@ def test_junk_is_rejected_and_clean_text_stays(spark, documents):
     assert sum(bad) <= 0.25 * len(bad)
 
 
+def test_toxic_documents_are_caught(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    found = quality.judge(spark.read.parquet(f"{folder}/documents.parquet"), labels).join(labels, "doc_id").collect()
+    clean = [r["kept"] for r in found if r["quality"] == 1 and not r["toxic"]]
+    toxic = [r["kept"] for r in found if r["quality"] == 1 and r["toxic"]]
+    assert sum(clean) >= 0.99 * len(clean)
+    assert sum(toxic) <= 0.8 * len(toxic)
+
+
 def test_joins_give_the_same(spark, documents):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     some = documents.filter("doc_id < 150")
