@@ -174,7 +174,8 @@ def _described(docs: DataFrame, id_col: str, text: str) -> DataFrame:
             empty = pa.array([size == 0 for size in sizes])
             keys = pa.array(band_keys(least).reshape(-1))
             bands = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * BANDS), keys)
-            signs = pa.array([row.tobytes() for row in (least >> np.uint32(24)).astype(np.uint8)], pa.binary())
+            # The lowest byte; the highest of a minimum over many shingles is mostly zero.
+            signs = pa.array([row.tobytes() for row in (least & np.uint32(0xFF)).astype(np.uint8)], pa.binary())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.int64()),

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from siftmine.llm import near_dedup
@@ -110,6 +111,16 @@ def test_pruning_bounds():
     assert lost <= 5
 
 
+def test_bytes_of_unrelated_long_texts_differ(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(2_000))) for i in range(20)]
+    described = near_dedup._described(frame(spark, rows), "doc_id", "text").collect()
+    signs = [np.frombuffer(r["signature"], np.uint8) for r in described]
+    equal = [(signs[i] == signs[j]).mean() for i in range(20) for j in range(i)]
+    assert np.mean(equal) < 2 / 256
+    assert not any(len(near_dedup.compared(signs[i][None], np.array(signs[:i]))[0]) for i in range(1, 20))
+
+
 def test_component_graphs(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, 600 + i) for i in range(40)]
