@@ -7,7 +7,8 @@ narrow and the choice is not accepted.
 
 The dictionaries are fitted on a bounded sample: of each language the
 ``SAMPLE_DOCS`` documents with the smallest hash of their id, ``SAMPLE_CHARS``
-characters from the middle of each. All dictionaries together take at most
+characters from the middle of each, cut at ``DICTIONARY_BYTES``: of scripts with
+two or three bytes a character these are about 128 or 85 full pieces. All dictionaries together take at most
 ``MODEL_BYTES``, whatever the number of languages, and go to every task.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0;
@@ -58,20 +59,30 @@ def fit(
     sample_docs = max(1, min(SAMPLE_DOCS, MODEL_BYTES // (SAMPLE_CHARS * max(1, languages))))
     # Ranks are evenly spread, so the smallest lie below a share of them; the rest need not be compared.
     place = F.conv(F.substring("rank", 1, 13), 16, 10).cast("double") / float(1 << 52)
-    near = rows.join(F.broadcast(counts) if few else counts, "lang").filter(
-        place <= 4.0 * SAMPLE_DOCS / F.col("n")
-    )
+    counted = rows.join(F.broadcast(counts) if few else counts, "lang")
     # The middle of the text, so that what many texts begin or end with counts less.
     start = F.greatest(F.lit(1), F.floor((F.length("text") - SAMPLE_CHARS) / 2).cast("int"))
     piece = F.substr("text", start, F.lit(SAMPLE_CHARS))
     best = F.row_number().over(W.partitionBy("lang").orderBy("rank", "text"))
-    sample = (
-        near.select("lang", "rank", "n", piece.alias("text"))
-        .withColumn("place", best)
-        .filter(F.col("place") <= sample_docs)
-        .orderBy("lang", "place")
-        .toArrow()
+
+    def smallest(some: DataFrame) -> DataFrame:
+        pieces = some.select("lang", "rank", "n", piece.alias("text"))
+        return pieces.withColumn("place", best).filter(F.col("place") <= sample_docs)
+
+    near = settle(smallest(counted.filter(place <= 4.0 * SAMPLE_DOCS / F.col("n"))), "language-sample")
+    # Where many rows have one id, ranks are not spread; such languages are looked at whole.
+    got = near.groupBy("lang").agg(F.count(F.lit(1)).alias("got"))
+    lacking = settle(
+        counts.join(got, "lang", "left")
+        .filter(F.coalesce("got", F.lit(0)) < F.least("n", F.lit(sample_docs)))
+        .select("lang"),
+        "lacking-languages",
     )
+    n_lacking = lacking.count()
+    if n_lacking:
+        whole = F.broadcast(lacking) if n_lacking <= BROADCAST_LANGUAGES else lacking
+        near = near.join(whole, "lang", "left_anti").unionByName(smallest(counted.join(whole, "lang", "left_semi")))
+    sample = near.orderBy("lang", "place").toArrow()
     pieces: dict[str, list[str]] = {}
     learned: dict[str, int] = {}
     for name, n, value in zip(*(sample.column(c).to_pylist() for c in ("lang", "n", "text"))):

@@ -50,6 +50,12 @@ def test_language_edges(spark):
     assert (one["lang_pred"], one["score"]) == ("en", 1.0)
 
 
+def test_rows_with_equal_ids_teach_too(spark):
+    rows = [(None, f"text number {i}", "en") for i in range(1500)] + [(i % 2, f"texte numéro {i}", "fr") for i in range(1500)]
+    model = language_id.fit(frame(spark, rows))
+    assert {lang: content.count(b"\n") + 1 for lang, content in model.items()} == {"en": 256, "fr": 256}
+
+
 def test_sample_is_bounded(spark):
     docs = frame(spark, [(i, f"text number {i} " * 100, "en") for i in range(400)])
     model = language_id.fit(docs)
