@@ -20,10 +20,10 @@ Defined cases: trusted are documents that all labels call of good quality and
 none toxic; a null or empty text has nothing against it and is kept; without
 trusted text nothing is judged and all is kept; a null language is a language
 of its own, and languages with few trusted documents use the threshold of all;
-short texts are judged mildly, as if ``PRIOR_BYTES`` of usual text came with
-them; texts are read whole, whatever their length; rows that repeat are judged
-one by one; further columns are passed on, and columns that the result adds
-replace columns of that name.
+short texts are judged by their own bytes alone, with the room that their
+length gives; texts are read whole, whatever their length; rows that repeat are
+judged one by one; further columns are passed on, and columns that the result
+adds replace columns of that name.
 """
 
 from __future__ import annotations
@@ -53,7 +53,6 @@ BROADCAST_LANGUAGES = 10_000
 ROUNDING = 1e-9
 #: Share of the trusted documents of a language that may be rejected.
 REJECTED = 0.005
-PRIOR_BYTES = 200
 #: Trusted documents that a language needs for a threshold of its own.
 MIN_DOCUMENTS = 50
 
@@ -164,10 +163,9 @@ def probabilities(counts: DataFrame) -> DataFrame:
 
 @dataclass
 class QualityModel:
-    """Cost (-log p) of every n-gram of a corpus, and the usual cost of a byte and the largest excess by language."""
+    """Cost (-log p) of every n-gram of a corpus, and the middle cost of a byte and the largest excess by language."""
 
     costs: DataFrame  # gram, cost
-    usual: float  # mean cost of a byte of trusted text
     limits: DataFrame  # lang, middle, max_excess
     middle: float  # of languages without one
     max_excess: float
@@ -248,12 +246,10 @@ def fit(
         probabilities(counts).select("gram", (-F.log("p")).alias("cost")), "ngram-costs"
     )
     sent = costs.count() <= most_sent
-    usual = counts.filter("n > 0").join(costs, "gram").agg(F.sum(F.col("n") * F.col("cost")) / F.sum("n")).first()[0]
-    usual = usual or 0.0
-    checked = flagged.filter(F.col("trusted") & kept_out)
+    checked = flagged.filter(F.col("trusted") & kept_out & (_bytes("text") > 0))
     scored = settle(
         _sums(checked, costs, sent, "text", "cost").select(
-            "lang", _smoothed("cost", "text", usual).alias("cost"), _weight("text").alias("weight")
+            "lang", (F.col("cost") / _bytes("text")).alias("cost"), _weight("text").alias("weight")
         ),
         "calibration",
     )
@@ -278,17 +274,13 @@ def fit(
     )
     middle = scored.agg(median).first()[0]
     if middle is None:
-        return QualityModel(costs, usual, limits, 0.0, math.inf, sent)
+        return QualityModel(costs, limits, 0.0, math.inf, sent)
     max_excess = scored.agg(quantile(F.lit(middle))).first()[0]
-    return QualityModel(costs, usual, limits, middle, max_excess, sent)
-
-
-def _smoothed(cost: str, text: str, usual: float) -> Column:
-    return (F.col(cost) + PRIOR_BYTES * usual) / (_bytes(text) + PRIOR_BYTES)
+    return QualityModel(costs, limits, middle, max_excess, sent)
 
 
 def _weight(text: str) -> Column:
-    return F.sqrt(_bytes(text) + PRIOR_BYTES)
+    return F.sqrt(F.greatest(_bytes(text), F.lit(1)))
 
 
 def score(docs: DataFrame, model: QualityModel, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -302,7 +294,7 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", lang: str =
     summed = _sums(limited, model.costs, model.sent, text, cost)
     most = F.coalesce(limit, F.lit(model.middle)) + F.coalesce(excess, F.lit(model.max_excess)) / _weight(text)
     return (
-        summed.withColumn(cost, _smoothed(cost, text, model.usual))
+        summed.withColumn(cost, F.col(cost) / F.greatest(_bytes(text), F.lit(1)))
         .withColumn(limit, most)
         .withColumn("kept", F.col(cost) <= F.col(limit) + ROUNDING)
         .withColumn("perplexity", F.exp(cost))

@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -134,6 +135,20 @@ def test_toxic_documents_are_caught(spark):
     assert sum(toxic) <= 0.8 * len(toxic)
 
 
+def test_short_texts_are_judged_by_their_own_bytes(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randint(2, 7))) for _ in range(300)]
+    usual = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    # Long texts hold some numbers, which sets the quantile.
+    rows = [(i, usual(5), "en") for i in range(600)]
+    rows += [(1000 + i, f"{usual(300)} {rng.randrange(10**500)} {usual(300)}", "en") for i in range(300)]
+    rows += [(2000 + i, text, "en") for i, text in enumerate(["?QZ#", "J&X%", "{<}$@"])]
+    labels = spark.createDataFrame([(row[0], 1, 0) for row in rows if row[0] < 2000], "doc_id long, quality int, toxic int")
+    kept = {r["doc_id"]: r["kept"] for r in quality.judge(frame(spark, rows), labels).collect()}
+    assert not any(kept[2000 + i] for i in range(3))
+    assert sum(kept[i] for i in range(600)) >= 0.99 * 600
+
+
 def test_joins_give_the_same(spark, documents):
     labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
     some = documents.filter("doc_id < 150")
