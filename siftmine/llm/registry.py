@@ -1,4 +1,4 @@
-"""The ten operators as queries over whole tables, and the SQL of those that have one."""
+"""The operators as queries over whole tables, and the SQL of those that have one."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftmine.llm import exact_dedup, exact_topk, language_id, license_scan, mixing, near_dedup, packing, quality, sharding, token_counts
+from siftmine.llm import byte_bpe, exact_dedup, exact_topk, language_id, license_scan, mixing, near_dedup, packing
+from siftmine.llm import quality, ranked_search, resampling, sharding, token_counts
 from siftmine.sources.readers import read_table as table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +97,33 @@ def op10_license_scan(spark, folder):
     return found.select("doc_id", "n_words", *[c.alias(n) for n, c in license_scan.label_columns().items()])
 
 
+@query
+def op11_ranked_search(spark, folder):
+    index = ranked_search.build_index(table(spark, folder, "documents"))
+    return ranked_search.search(index, table(spark, folder, "benchmark")).drop("item")
+
+
+@query
+def op12_byte_bpe(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    encoded = byte_bpe.decode(byte_bpe.encode(docs))
+    shown = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(shown, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op13_target_resampling(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    gain = resampling.gains(docs, table(spark, folder, "benchmark"))
+    drawn = resampling.draw(resampling.weigh(docs, gain).drop("text"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 ORACLE: dict[str, str] = {
     "op1_exact_topk": """
         WITH v AS (
@@ -149,4 +177,36 @@ ORACLE: dict[str, str] = {
                    AS position
         FROM e
     """,
+    "op11_ranked_search": r"""
+        WITH words AS (
+            SELECT doc_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM documents WHERE doc_id IS NOT NULL
+        ),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark
+        ),
+        sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY doc_id),
+        total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+        cells AS (
+            SELECT doc_id, term, count(*) AS tf FROM words
+            WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term
+        ),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM cells, total GROUP BY term, docs
+        ),
+        scored AS (
+            SELECT item_id, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms))))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN cells USING (term) JOIN sizes USING (doc_id), total
+            GROUP BY item_id, doc_id
+        )
+        SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+        FROM scored WHERE score > 0 QUALIFY rank <= 50
+    """,
 }
