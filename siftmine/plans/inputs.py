@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siftmine.operators.features import tokenize_docs
+from siftmine.session import run_folder
 from siftmine.sources.readers import read_table
 
 
@@ -131,14 +133,36 @@ def event_tags(spark: SparkSession, folder: str) -> DataFrame:
     return as_event_tags(read_table(spark, folder, "events"))
 
 
-def in_slices(df: DataFrame, by: str, slices: int, path: str) -> None:
-    """Write ``df`` as files one after the other, each with the next range of the number ``by``."""
-    rows = df.withColumn("_slice", slice_of(df, by, slices))
+#: Rows of one file of a stream's input, and the files that a batch has at least.
+FILE_ROWS = 1_000_000
+BATCH_FILES = 2
+
+
+def in_slices(df: DataFrame, by: str, slices: int, path: str, file_rows: int = FILE_ROWS) -> int:
+    """Write ``df`` as files in the order of the number ``by``; returns how many files a slice has.
+
+    The table is read once and dealt to a folder per slice; the slices are then
+    published one after the other, as streams take files by their time. Every
+    slice is written by as many tasks as it has files. Null and negative numbers
+    come first.
+    """
+    spark = df.sparkSession
+    staged = run_folder(spark, "stream-slices")
+    df.withColumn("_slice", slice_of(df, by, slices)).write.partitionBy("_slice").parquet(staged)
+    rows = spark.read.schema(T.StructType([*df.schema, T.StructField("_slice", T.IntegerType())])).parquet(staged)
+    # One row per slice.
+    largest = rows.groupBy("_slice").count().agg(F.max("count")).first()[0] or 0
+    files = max(BATCH_FILES, -(-largest // file_rows))
     for number in range(slices):
         part = rows.filter(F.col("_slice") == number).drop("_slice")
-        part.coalesce(1).write.mode("append").parquet(path)
+        part.repartition(files).write.mode("append").parquet(path)
+    return files
 
 
-def slice_of(df: DataFrame, by: str, slices: int):
-    last = df.agg(F.max(by)).first()[0] or 0
-    return F.floor(F.col(by) * slices / (last + 1))
+def slice_of(df: DataFrame, by: str, slices: int) -> Column:
+    """Number of the slice of a row, from 0; null and negative numbers belong to the first."""
+    last = df.agg(F.max(by)).first()[0]
+    if last is None or last < 0:
+        return F.lit(0)
+    part = F.floor(F.col(by) * slices / (last + 1)).cast("int")
+    return F.greatest(F.lit(0), F.coalesce(part, F.lit(0)))

@@ -582,12 +582,12 @@ def bloom_audit_legacy(spark, folder):
     return membership.bloom_audit(inputs.event_tags(spark, folder), ["event_id"], legacy=True)
 
 
-def _stream(spark, folder, name, by):
-    """The table as a stream of files that come one by one."""
+def _stream(spark, folder, name, by, batches=sql.BATCHES):
+    """The table as a stream of files, several in a batch."""
     path = run_folder(spark, f"{name}-files")
     rows = readers.read_table(spark, folder, name)
-    inputs.in_slices(rows, by, sql.BATCHES, path)
-    return readers.stream_texts(spark, rows.schema, path, max_files=1)
+    files = inputs.in_slices(rows, by, batches, path)
+    return readers.stream_texts(spark, rows.schema, path, max_files=files)
 
 
 def _finished(stream_query):
@@ -628,6 +628,18 @@ def stream_bloom(spark, folder):
     return _with_batches(streams.batch_metrics(spark, state, last).drop("at", "bloom_new"), last)
 
 
+@query
+def stream_bloom_timed(spark, folder):
+    state = run_folder(spark, "bloom-timed")
+    tags = inputs.as_event_tags(_stream(spark, folder, "events", "event_id", sql.TIMED_BATCHES))
+    # Batches start by the clock, as in a job that never ends; this one ends with its files.
+    running = streams.stream_bloom(tags, state, tag="tag", text=None, available_now=False)
+    running.processAllAvailable()
+    running.stop()
+    last = streams.last_batch(spark, state)
+    return _with_batches(streams.batch_metrics(spark, state, last).drop("at", "bloom_new"), last)
+
+
 @query
 def stream_bloom_texts(spark, folder):
     state = run_folder(spark, "bloom")

@@ -15,6 +15,7 @@ BITS = 1024
 PREFIX = "th"
 NEIGHBOURS = 10
 BATCHES = 4
+TIMED_BATCHES = 2
 
 SURVEY = """
 survey AS (
@@ -501,6 +502,7 @@ ORACLE: dict[str, str] = {
     "stream_reservoir": f"WITH {SAMPLE_TEXTS} SELECT *, {BATCHES} AS batches FROM sample",
     "stream_reservoir_stats": f"SELECT *, {BATCHES} AS batches FROM ({STATS})",
     "stream_bloom": _audit(MD5_BITS, f"occurrences AS texts, {BATCHES} AS batches, "),
+    "stream_bloom_timed": _audit(MD5_BITS, f"occurrences AS texts, {TIMED_BATCHES} AS batches, "),
     "stream_bloom_texts": _audit(
         MD5_BITS,
         f"(SELECT count(*) FROM conversations) AS texts, {BATCHES} AS batches, ",

@@ -193,6 +193,11 @@ def batch_metrics(spark: SparkSession, state_dir: str, batch_id: int) -> DataFra
     return spark.read.parquet(_metrics_path(state_dir, batch_id))
 
 
+def last_batch(spark: SparkSession, state_dir: str) -> int:
+    """Number of the last batch that has figures."""
+    return read_metrics(spark, state_dir).agg(F.max("batch")).first()[0]
+
+
 def current_sample(spark: SparkSession, state_dir: str, batch_id: int) -> DataFrame:
     """The sample as batch ``batch_id`` left it."""
     return _reservoir_state(spark, state_dir)[0].of(batch_id)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from siftmine.functions.text import bit_positions
 from siftmine.operators import membership, sampling
 from siftmine.sources.readers import stream_texts
+from siftmine.plans import inputs
 from siftmine.streaming import jobs as streams
 from siftmine.streaming.state import VersionedTable
 
@@ -139,6 +140,40 @@ def test_stream_goes_on_after_a_restart(spark, source, tmp_path):
     assert last == membership.bloom_audit(tags, ["event_id", "pos"], 64).first().asDict()
 
 
+@pytest.mark.parametrize("file_rows", [10, 1_000_000])
+def test_slices_lose_nothing(spark, tmp_path, file_rows):
+    """Null, negative and repeated numbers; several files in a batch; every batch holds the next slice."""
+    rows = [(i, f"t{i}") for i in range(100)] + [(None, "none"), (None, "none"), (-7, "below"), (99, "t99")]
+    path = str(tmp_path / "files")
+    df = spark.createDataFrame(rows, "n long, text string").repartition(3)
+    files = inputs.in_slices(df, "n", 4, path, file_rows)
+    assert files == (3 if file_rows == 10 else 2)
+    seen = []
+    stream = stream_texts(spark, "n long, text string", path, files)
+    query = (
+        stream.writeStream.foreachBatch(lambda batch, _: seen.append([tuple(r) for r in batch.collect()]))
+        .option("checkpointLocation", str(tmp_path / "progress"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    assert len(seen) == 4
+    assert sorted(map(repr, sum(seen, []))) == sorted(map(repr, rows))
+    numbers = [[n for n, _ in batch if n is not None and n >= 0] for batch in seen]
+    assert all(max(a) < min(b) for a, b in zip(numbers, numbers[1:]))
+    assert {"none", "below"} <= {text for _, text in seen[0]}
+    # More than one task wrote each batch.
+    assert spark.read.parquet(path).select(F.input_file_name()).distinct().count() == 4 * files
+
+
+@pytest.mark.parametrize("numbers", [[None, None], [-3, -1, None], []])
+def test_slices_without_a_number(spark, tmp_path, numbers):
+    df = spark.createDataFrame([(n,) for n in numbers], "n long")
+    inputs.in_slices(df, "n", 4, str(tmp_path / "files"))
+    found = spark.read.schema("n long").parquet(str(tmp_path / "files"))
+    assert sorted(map(repr, [r[0] for r in found.collect()])) == sorted(map(repr, numbers))
+
+
 def test_timed_batches(spark, source, tmp_path):
     _, stream = source(_texts(5), [100, 140])
     state = str(tmp_path / "state")

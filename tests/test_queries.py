@@ -68,9 +68,9 @@ TO_DRIVER = {
     "operators/ids.py": 1,
     "operators/itemsets.py": 1,
     "operators/sampling.py": 1,
-    "plans/inputs.py": 2,
+    "plans/inputs.py": 3,
     "plans/registry.py": 1,
-    "streaming/jobs.py": 3,
+    "streaming/jobs.py": 4,
 }
 
 
