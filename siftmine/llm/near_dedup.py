@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftmine.llm.common import join_figures, settle, small_batches
+from siftmine.llm.common import join_figures, settle, small_batches, uncommon
 from siftmine.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -466,6 +466,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "t
     """
     found = near_duplicates(docs, id_col, text).filter("doc_id is not null")
     judged = found.groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    leaving = settle(judged.filter("not kept").select(F.col("doc_id").alias("_leaves")), "leaving")
+    leaves = uncommon("leaves", docs)
+    leaving = settle(judged.filter("not kept").select(F.col("doc_id").alias(leaves)), "leaving")
     leaving = F.broadcast(leaving) if leaving.count() <= BROADCAST_IDS else leaving
-    return docs.join(leaving, F.col(id_col).cast("long") == F.col("_leaves"), "left_anti")
+    return docs.join(leaving, F.col(id_col).cast("long") == F.col(leaves), "left_anti")

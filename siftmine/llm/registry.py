@@ -38,8 +38,7 @@ def op2_language_id(spark, folder):
 
 @query
 def op3_exact_dedup(spark, folder):
-    docs = table(spark, folder, "documents")
-    return exact_dedup.new_index(spark, docs.count()).add(docs)
+    return exact_dedup.deduplicate(table(spark, folder, "documents"))
 
 
 @query

@@ -4,7 +4,7 @@ SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, digest string, `row` int, kept boolean, "
     "key string, copy int, copies int, rate double, part int, place int, `index` int, start int, `_key` string, "
     "group_size int, node long, component long, limit double, cost double, perplexity double, matches string, "
-    "score string, Found int, ids int, length int, n_tokens string"
+    "score string, Found int, ids int, length int, n_tokens string, _leaves long, leaves long, digest_ string, row_number int, n long, kept_row string"
 )
 _WIDTH = len(SCHEMA.split(", "))
 
