@@ -8,13 +8,18 @@ bytes varies less than that of few; so a few insults count in a long text too.
 The excesses of those kept out, by language, give the quantile that a document
 must not exceed.
 
-N-grams are whole numbers. Tasks count them batch by batch, so what is
-shuffled are distinct n-grams and their counts, over all trusted text, next to
-the n-grams of all other text. From these, joins on n-grams, contexts and
-shorter n-grams (sharded by hash) give the probability of every n-gram that
-occurs, order by order. A document's perplexity is the sum over its n-grams:
-their probabilities go to every task where they are few (checked), and else
-are joined with each document's counts.
+N-grams are whole numbers. Tasks count those of the trusted text batch by
+batch, so what is shuffled are distinct n-grams and their counts. Joins on
+n-grams, contexts and shorter n-grams (sharded by hash) give the model order by
+order: the cost of every n-gram that the trusted text has, and what it costs to
+go on to the next shorter one where a context has not been followed by a
+symbol. So any text can be scored, and the model grows with the trusted text
+alone.
+
+A document's perplexity is the sum of the costs of its n-grams. Where the model
+is small (checked), it goes to every task; else the distinct n-grams of the
+documents get their costs by joins with the sharded model, and are joined with
+each document's counts. Both ways give the same figures.
 
 Defined cases: trusted are documents that all labels call of good quality and
 none toxic; a null or empty text has nothing against it and is kept; without
@@ -45,7 +50,7 @@ SYMBOL_BITS = 9
 SYMBOLS = 257
 #: Bytes whose n-grams are counted at once.
 SLICE_BYTES = 2_000_000
-#: Probabilities of so many n-grams (16 bytes each) are sent to every task; more are joined.
+#: A model of so many n-grams and contexts (16 bytes each) is sent to every task; a larger one is joined.
 BROADCAST_NGRAMS = 4_000_000
 BROADCAST_IDS = 1_000_000
 BROADCAST_LANGUAGES = 10_000
@@ -81,35 +86,29 @@ def _slices(texts: Iterator[str | None]) -> Iterator[tuple[int, np.ndarray]]:
             yield number, ngrams(raw[before : at + SLICE_BYTES])[at - before :]
 
 
-def ngram_counts(docs: DataFrame, text: str, counts: str) -> DataFrame:
-    """(gram, n): every n-gram of ``docs`` and how often it is in texts where ``counts``."""
+def ngram_counts(docs: DataFrame, text: str) -> DataFrame:
+    """(gram, n): every n-gram of the texts of ``docs`` and how often it is there."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bool, list[np.ndarray]] = {True: [], False: []}
+        held: list[np.ndarray] = []
         size = 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            for counted, parts in held.items():
-                if parts:
-                    grams, n = np.unique(np.concatenate(parts), return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(grams), pa.array(n if counted else np.zeros_like(n))], ["gram", "n"]
-                    )
-                    parts.clear()
+        def counted() -> pa.RecordBatch:
+            grams, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(grams), pa.array(n)], ["gram", "n"])
 
         for batch in batches:
-            flags = batch.column(1)
-            for number, grams in _slices(value.as_py() for value in batch.column(0)):
-                held[flags[number].as_py()].append(grams)
+            for _, grams in _slices(value.as_py() for value in batch.column(0)):
+                held.append(grams)
                 size += len(grams)
                 if size >= SLICE_BYTES:
-                    yield from flush()
-                    size = 0
-        yield from flush()
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
 
     small_batches(docs.sparkSession)
-    counted = docs.select(text, F.coalesce(counts, F.lit(False))).mapInArrow(count, "gram long, n long")
-    return counted.groupBy("gram").agg(F.sum("n").alias("n"))
+    return docs.select(text).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -123,49 +122,125 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return discount(1, n1, n2), discount(2, n2, n3), discount(3, n3, n4)
 
 
-def _low(order: int) -> Column:
+def _low(order: int, gram: str = "gram") -> Column:
     """The last ``order`` symbols of a gram."""
-    return F.col("gram").bitwiseAND(F.lit((1 << SYMBOL_BITS * order) - 1))
+    return F.col(gram).bitwiseAND(F.lit((1 << SYMBOL_BITS * order) - 1))
 
 
-def probabilities(counts: DataFrame) -> DataFrame:
-    """(gram, p): interpolated probability of the last symbol of every n-gram of ``counts`` (gram, n)."""
+@dataclass
+class NgramModel:
+    """Costs (-log p) by order, from trusted text alone; what no order knows costs ``unknown`` more."""
+
+    grams: dict[int, DataFrame]  # gram, cost
+    backoffs: dict[int, DataFrame]  # context, cost: from order 2 on
+    first_backoff: float  # of order 1, whose context is empty
+    unknown: float = math.log(SYMBOLS)
+
+    def size(self) -> int:
+        return sum(table.count() for part in (self.grams, self.backoffs) for table in part.values())
+
+
+def train(counts: DataFrame) -> NgramModel:
+    """The interpolated model of the n-grams of ``counts`` (gram, n), which hold the highest order."""
     tables = {ORDER: counts}
     for order in range(ORDER - 1, 0, -1):
         # Below the highest order, an n-gram counts once for each symbol seen before it.
         shorter = tables[order + 1].groupBy(_low(order).alias("gram"))
-        tables[order] = settle(shorter.agg(F.count_if(F.col("n") > 0).alias("n")), f"grams-{order}")
-    lower = None
+        tables[order] = settle(shorter.agg(F.count(F.lit(1)).alias("n")), f"grams-{order}")
+    grams, backoffs = {}, {}
+    first_backoff = 0.0
     for order in range(1, ORDER + 1):
-        grams = tables[order]
         seen = [F.count_if(F.col("n") == k) for k in (1, 2, 3, 4)]
-        d1, d2, d3 = discounts(*grams.agg(*seen).first())
+        d1, d2, d3 = discounts(*tables[order].agg(*seen).first())
         n = F.col("n")
-        discount = F.when(n == 0, 0.0).when(n == 1, d1).when(n == 2, d2).otherwise(d3)
-        keyed = grams.withColumn("context", F.shiftright("gram", SYMBOL_BITS))
-        contexts = (
-            keyed.filter("n > 0")
-            .groupBy("context")
-            .agg(F.sum("n").alias("total"), F.sum(discount).alias("left"))
+        discount = F.when(n == 1, d1).when(n == 2, d2).otherwise(d3)
+        keyed = tables[order].withColumn("context", F.shiftright("gram", SYMBOL_BITS))
+        contexts = settle(
+            keyed.groupBy("context").agg(F.sum("n").alias("total"), F.sum(discount).alias("left")),
+            f"contexts-{order}",
         )
+        share = F.col("left") / F.col("total")
         # Contexts of the first two orders are a few hundred; all are at most as many as n-grams.
-        joined = keyed.join(contexts, "context", "left")
-        if lower is None:
-            joined = joined.withColumn("p_low", F.lit(1.0 / SYMBOLS))
+        joined = keyed.join(contexts, "context")
+        if order == 1:
+            joined = joined.withColumn("low_cost", F.lit(math.log(SYMBOLS)))
+            only = contexts.select(-F.log(share)).first()
+            first_backoff = only[0] if only else 0.0
         else:
+            lower = grams[order - 1].toDF("low", "low_cost")
             joined = joined.withColumn("low", _low(order - 1)).join(lower, "low")
-        own = F.greatest(n - discount, F.lit(0.0)) / F.col("total")
-        p = F.coalesce(own + F.col("left") / F.col("total") * F.col("p_low"), F.col("p_low"))
-        now = settle(joined.select("gram", p.alias("p")), f"probabilities-{order}")
-        lower = now.select(F.col("gram").alias("low"), F.col("p").alias("p_low"))
-    return now
+            backoffs[order] = contexts.select("context", (-F.log(share)).alias("cost"))
+        p = (n - discount) / F.col("total") + share * F.exp(-F.col("low_cost"))
+        grams[order] = settle(joined.select("gram", (-F.log(p)).alias("cost")), f"gram-costs-{order}")
+    return NgramModel(grams, backoffs, first_backoff)
+
+
+def gram_costs(wanted: DataFrame, model: NgramModel) -> DataFrame:
+    """(gram, cost) of any n-grams (gram), each given once, by joins with the sharded model."""
+    now = wanted.select("gram", F.lit(0.0).alias("cost"), F.lit(False).alias("known"))
+    for order in range(ORDER, 0, -1):
+        own = model.grams[order].toDF("low", "own_cost")
+        now = now.withColumn("low", _low(order)).join(own, "low", "left")
+        if order > 1:
+            further = model.backoffs[order].toDF("context", "more")
+            now = now.withColumn("context", F.shiftright("low", SYMBOL_BITS)).join(further, "context", "left")
+            more = F.coalesce("more", F.lit(0.0))
+        else:
+            more = F.lit(model.first_backoff + model.unknown)
+        found = F.col("own_cost").isNotNull()
+        now = now.select(
+            "gram",
+            F.when(F.col("known"), F.col("cost")).otherwise(F.col("cost") + F.when(found, F.col("own_cost")).otherwise(more)).alias("cost"),
+            (F.col("known") | found).alias("known"),
+        )
+    return now.select("gram", "cost")
+
+
+class _SentModel:
+    """The model as sorted arrays."""
+
+    def __init__(self, model: NgramModel):
+        self.grams = {order: self._arrays(table, "gram") for order, table in model.grams.items()}
+        self.backoffs = {order: self._arrays(table, "context") for order, table in model.backoffs.items()}
+        self.last = model.first_backoff + model.unknown
+
+    @staticmethod
+    def _arrays(table: DataFrame, key: str) -> tuple[np.ndarray, np.ndarray]:
+        found = table.orderBy(key).toArrow()
+        return found.column(0).to_numpy(), found.column(1).to_numpy()
+
+    @staticmethod
+    def _look_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where the table has the key, costs there)"""
+        known, costs = table
+        if not len(known):
+            return np.zeros(len(keys), bool), np.zeros(0)
+        at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+        there = known[at] == keys
+        return there, costs[at[there]]
+
+    def costs(self, grams: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(grams))
+        todo = np.arange(len(grams))
+        for order in range(ORDER, 0, -1):
+            low = grams[todo] & ((1 << SYMBOL_BITS * order) - 1)
+            there, costs = self._look_up(self.grams[order], low)
+            out[todo[there]] += costs
+            todo, low = todo[~there], low[~there]
+            if not len(todo):
+                return out
+            if order > 1:
+                there, costs = self._look_up(self.backoffs[order], low >> SYMBOL_BITS)
+                out[todo[there]] += costs
+        out[todo] += self.last
+        return out
 
 
 @dataclass
 class QualityModel:
-    """Cost (-log p) of every n-gram of a corpus, and the middle cost of a byte and the largest excess by language."""
+    """The n-gram model, and the middle cost of a byte and the largest excess by language."""
 
-    costs: DataFrame  # gram, cost
+    ngrams: NgramModel
     limits: DataFrame  # lang, middle, max_excess
     middle: float  # of languages without one
     max_excess: float
@@ -186,21 +261,34 @@ def _is_trusted(docs: DataFrame, labels: DataFrame, id_col: str, name: str) -> D
     return docs.join(good, F.col(id_col) == F.col(key), "left").drop(key)
 
 
-def _sums(docs: DataFrame, model_costs: DataFrame, sent: bool, text: str, cost: str) -> DataFrame:
+def _sums(docs: DataFrame, model: NgramModel, sent: bool, text: str, cost: str) -> DataFrame:
     """``docs`` with the sum of the costs of the text's n-grams in ``cost``."""
     small_batches(docs.sparkSession)
     if sent:
-        table = model_costs.orderBy("gram").toArrow()
-        grams, costs = (table.column(i).to_numpy() for i in (0, 1))
-        shared = docs.sparkSession.sparkContext.broadcast((grams, costs))
+        shared = docs.sparkSession.sparkContext.broadcast(_SentModel(model))
 
         @F.arrow_udf("double")
         def total(texts: pa.Array) -> pa.Array:
-            known, each = shared.value
             out = np.zeros(len(texts))
+            numbers: list[int] = []
+            parts: list[np.ndarray] = []
+
+            def add() -> None:
+                if parts:
+                    each = np.repeat(numbers, [len(part) for part in parts])
+                    out[:] += np.bincount(each, shared.value.costs(np.concatenate(parts)), len(out))
+
+            size = 0
             for number, found in _slices(value.as_py() for value in texts):
-                if len(found):
-                    out[number] += each[np.searchsorted(known, found)].sum()
+                numbers.append(number)
+                parts.append(found)
+                size += len(found)
+                if size >= SLICE_BYTES:
+                    add()
+                    numbers.clear()
+                    parts.clear()
+                    size = 0
+            add()
             return pa.array(out)
 
         return docs.withColumn(cost, total(text))
@@ -218,7 +306,8 @@ def _sums(docs: DataFrame, model_costs: DataFrame, sent: bool, text: str, cost:
                 )
 
     counted = rows.select(row, text).mapInArrow(own_counts, f"`{row}` long, gram long, n long")
-    summed = counted.join(model_costs, "gram").groupBy(row).agg(F.sum(F.col("n") * F.col("cost")).alias(cost))
+    costs = settle(gram_costs(ngram_counts(rows, text).select("gram"), model), "costs-to-look-up")
+    summed = counted.join(costs, "gram").groupBy(row).agg(F.sum(F.col("n") * F.col("cost")).alias(cost))
     return rows.join(summed, row, "left").withColumn(cost, F.coalesce(cost, F.lit(0.0))).drop(row)
 
 
@@ -235,17 +324,13 @@ def fit(
     rejected: float = REJECTED,
     most_sent: int = BROADCAST_NGRAMS,
 ) -> QualityModel:
-    """A model of the trusted documents among ``docs``, for scoring ``docs``."""
+    """A model of the trusted documents among ``docs``, for scoring any documents."""
     plain = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     flagged = _is_trusted(plain, labels, "doc_id", "trusted")
     kept_out = F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
-    counts = settle(
-        ngram_counts(flagged.withColumn("counts", F.col("trusted") & ~kept_out), "text", "counts"), "grams"
-    )
-    costs = settle(
-        probabilities(counts).select("gram", (-F.log("p")).alias("cost")), "ngram-costs"
-    )
-    sent = costs.count() <= most_sent
+    learnt = flagged.filter(F.col("trusted") & ~kept_out)
+    costs = train(settle(ngram_counts(learnt, "text"), "grams"))
+    sent = costs.size() <= most_sent
     checked = flagged.filter(F.col("trusted") & kept_out & (_bytes("text") > 0))
     scored = settle(
         _sums(checked, costs, sent, "text", "cost").select(
@@ -291,7 +376,7 @@ def score(docs: DataFrame, model: QualityModel, text: str = "text", lang: str =
     )
     limits = F.broadcast(limits) if limits.count() <= BROADCAST_LANGUAGES else limits
     limited = docs.join(limits, F.col(lang).eqNullSafe(F.col(key)), "left").drop(key)
-    summed = _sums(limited, model.costs, model.sent, text, cost)
+    summed = _sums(limited, model.ngrams, model.sent, text, cost)
     most = F.coalesce(limit, F.lit(model.middle)) + F.coalesce(excess, F.lit(model.max_excess)) / _weight(text)
     return (
         summed.withColumn(cost, F.col(cost) / F.greatest(_bytes(text), F.lit(1)))

@@ -92,22 +92,80 @@ def brute_force(texts):
     return p
 
 
+def grams_of(text):
+    padded = [0] * (quality.ORDER - 1) + [byte + 1 for byte in text.encode()]
+    return [tuple(padded[i : i + quality.ORDER]) for i in range(len(padded) - quality.ORDER + 1)]
+
+
 def test_probabilities(spark):
+    """Of n-grams that the trusted text has, and of those that only other text has."""
     texts = ["the cat sat on the mat", "the dog sat", "a cat and a dog", "thé ça"]
-    rows = [(i, text, "en") for i, text in enumerate(texts)] + [(9, "the zebra", "en")]
-    docs = frame(spark, rows).withColumn("counts", F.col("doc_id") < 9)
-    found = quality.probabilities(quality.ngram_counts(docs, "text", "counts")).collect()
+    model = quality.train(quality.ngram_counts(frame(spark, [(i, t, "en") for i, t in enumerate(texts)]), "text"))
+    assert model.grams[quality.ORDER].count() == len({g for t in texts for g in grams_of(t)})
+    asked = frame(spark, [(i, t, "en") for i, t in enumerate([*texts, "the zebra", "中文中文", "zzzz qqqq", "Ω"])])
+    wanted = quality.ngram_counts(asked, "text")
+    found = {row["gram"]: row["cost"] for row in quality.gram_costs(wanted, model).collect()}
+    assert len(found) == wanted.count()
     p = brute_force(texts)
-    seen = set()
-    for row in found:
-        gram = tuple(row["gram"] >> 9 * (quality.ORDER - 1 - i) & 511 for i in range(quality.ORDER))
-        assert row["p"] == pytest.approx(p(gram), rel=1e-9)
-        seen.add(gram)
-    assert len(seen) == len(found)
+    sent = quality._SentModel(model).costs(np.array(list(found), np.int64))
+    for (number, cost), other in zip(found.items(), sent):
+        gram = tuple(number >> 9 * (quality.ORDER - 1 - i) & 511 for i in range(quality.ORDER))
+        assert cost == pytest.approx(-math.log(p(gram)), rel=1e-9)
+        assert other == pytest.approx(cost, rel=1e-9)
     # All that may follow a context adds up to one.
     assert sum(p((0, 0, 0, 0, s)) for s in range(quality.SYMBOLS)) == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("most_sent", [10**9, 0])
+def test_decisions_by_brute_force(spark, most_sent):
+    """Perplexity, language-specific quantile and decision, also of documents that the model never saw."""
+    rng = random.Random(6)
+    words = {lang: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 6))) for _ in range(40)] for lang, letters in
+             (("en", "aeioulmnrst"), ("de", "äeiouchnrst"))}
+    rows = [(i, " ".join(rng.choices(words[lang], k=rng.randint(1, 12))), lang) for i in range(700) for lang in [rng.choice(["en", "de"])]]
+    rows += [(700 + i, " ".join(rng.choices(words["en"], k=6)), "fr") for i in range(20)]
+    labels = spark.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
+    docs = frame(spark, rows)
+    out = {r[0] for r in docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0).select("doc_id").collect()}
+    p = brute_force([text for i, text, _ in rows if i not in out])
+    known = {}
+
+    def cost(text):
+        total = 0.0
+        for gram in grams_of(text):
+            known[gram] = known[gram] if gram in known else -math.log(p(gram))
+            total += known[gram]
+        return total / max(1, len(text.encode()))
+
+    quantile = lambda values, share: sorted(values)[max(0, math.ceil(share * len(values)) - 1)]
+
+    def limits(held):
+        costs = [cost(text) for text in held]
+        middle = quantile(costs, 0.5)
+        excess = [(c - middle) * math.sqrt(len(t.encode())) for c, t in zip(costs, held)]
+        return middle, quantile(excess, 1 - 0.1)
+
+    by_lang = {lang: [t for i, t, l in rows if i in out and l == lang] for lang in ("en", "de", "fr")}
+    own = {lang: limits(held) for lang, held in by_lang.items() if len(held) >= quality.MIN_DOCUMENTS}
+    assert set(own) == {"en", "de"}
+    rest = limits([t for held in by_lang.values() for t in held])
+
+    model = quality.fit(docs, labels, rejected=0.1, most_sent=most_sent)
+    assert model.sent == bool(most_sent)
+    new = [(9000, "中文中文", "en"), (9001, "zzzz qqqq", "de"), (9002, "", "en"), (9003, None, None), (9004, "x", "xx"), (9005, rows[0][1], "en")]
+    asked = rows[::7] + rows[700:] + new
+    found = {r["doc_id"]: r for r in quality.score(frame(spark, asked), model).collect()}
+    assert len(found) == len({r[0] for r in asked})
+    for i, text, lang in asked:
+        middle, excess = own.get(lang, rest)
+        size = max(1, len((text or "").encode()))
+        most, mine = middle + excess / math.sqrt(size), cost(text or "")
+        assert found[i]["perplexity"] == pytest.approx(math.exp(mine), rel=1e-9)
+        assert found[i]["max_perplexity"] == pytest.approx(math.exp(most), rel=1e-9)
+        assert found[i]["kept"] == (mine <= most + quality.ROUNDING)
+    assert not found[9000]["kept"] and not found[9001]["kept"] and found[9002]["kept"] and found[9003]["kept"]
+
+
 def test_ngrams_of_slices(monkeypatch):
     text = "abcdefghij é" * 7
     whole = quality.ngrams(text.encode())
