@@ -23,7 +23,11 @@ from siftmine.operators.skew import settle
 # Distinct baskets that one task mines in memory.
 CHUNK_BASKETS = 100_000
 # The support within a chunk stays at least this high, else a chunk would list nearly all subsets.
-LEAST_CHUNK_SUPPORT = 10
+LEAST_CHUNK_SUPPORT = 5
+
+# Distinct baskets of one item, and sets of one rarest item, that a task holds at once.
+SPLIT_BASKETS = 20_000
+TREE_SETS = 50_000
 
 _ITEMSET = "array<string>"
 
@@ -133,20 +137,30 @@ def son_candidates(
     chunk_baskets: int = CHUNK_BASKETS,
     max_size: int | None = None,
     weighted: DataFrame | None = None,
+    low_support: str = "error",
 ) -> DataFrame:
     """(items): itemsets frequent in some chunk of the baskets, at a proportional support.
 
     An itemset that is frequent overall reaches its share of the support in at
-    least one chunk, so none is missed; ``son_verify`` removes the rest. If the
-    support does not allow chunks of ``chunk_baskets``, because their share of
-    it would be too low, the frequent itemsets themselves are the candidates.
+    least one chunk, so none is missed; ``son_verify`` removes the rest. Where
+    there are several chunks and the share of one is below ``LEAST_CHUNK_SUPPORT``, chunks would list
+    nearly all subsets: that is an error, or with ``low_support="growth"`` the
+    caller asks for the itemsets of parallel FP-growth as candidates instead.
     """
+    if low_support not in ("error", "growth"):
+        raise ValueError("low_support must be 'error' or 'growth'")
     weighted = weighted_baskets(rows, support) if weighted is None else weighted
     size = weighted.agg(
         F.count(F.lit(1)).alias("sets"), F.coalesce(F.sum("weight"), F.lit(0)).alias("n")
     ).first()
     chunks = max(1, -(-size["sets"] // chunk_baskets))
-    if support < LEAST_CHUNK_SUPPORT * chunks:
+    too_low = chunks > 1 and support < LEAST_CHUNK_SUPPORT * chunks
+    if too_low and low_support == "error":
+        raise ValueError(
+            f"a support of {support} is below {LEAST_CHUNK_SUPPORT} in each of {chunks} chunks: "
+            "take larger chunks, a higher support, or low_support='growth'"
+        )
+    if too_low:
         found = frequent_itemsets(rows, support)
         return (found if max_size is None else found.filter(F.col("size") <= max_size)).select("items")
     share = support / max(1, size["n"])
@@ -176,27 +190,116 @@ def son_candidates(
 
 
 def _item_counts(weighted: DataFrame) -> DataFrame:
-    """(item, freq): the baskets of every item."""
+    """(item, freq, sets): the baskets of every item, and the distinct ones among them."""
     counts = weighted.select(F.explode("items").alias("item"), "weight").groupBy("item")
-    return settle(counts.agg(F.sum("weight").alias("freq")), "item-counts")
-
+    return settle(counts.agg(F.sum("weight").alias("freq"), F.count(F.lit(1)).alias("sets")), "item-counts")
 
-def _holders(weighted: DataFrame, sets: DataFrame, counts: DataFrame) -> DataFrame:
-    """(candidate, items, weight): each set with the baskets that hold all of it.
 
-    A set meets only the baskets that hold its rarest item, and is then tested
-    against the whole basket in that row.
+def _tree(sets: list[list[str]], anchor: str) -> dict:
+    """Prefix tree of the sets without their anchor; the key None marks where one ends, with its number."""
+    root: dict = {}
+    for number, items in enumerate(sets):
+        node = root
+        for item in items:
+            if item != anchor:
+                node = node.setdefault(item, {})
+        node[None] = number
+    return root
+
+
+def _holders(tree: dict, columns: dict[str, np.ndarray], n: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(number of a set, the baskets that hold it): a branch is left where no basket goes on."""
+    mark = np.zeros(n, bool)
+    todo = [(tree, np.arange(n))]
+    while todo:
+        node, held = todo.pop()
+        for item, below in node.items():
+            if item is None:
+                yield below, held
+            elif item in columns:
+                mark[columns[item]] = True
+                both = held[mark[held]]
+                mark[columns[item]] = False
+                if len(both):
+                    todo.append((below, both))
+
+
+def _counted(weighted: DataFrame, sets: DataFrame, counts: DataFrame, grow: bool = False) -> DataFrame:
+    """(candidate, freq) of the sets (items), or with ``grow`` (candidate, next, freq) for each later item.
+
+    A set belongs to its rarest item. The baskets of an item are split by their
+    number, and its sets into trees of a bounded size; each split of baskets
+    meets each tree once, and only sums leave the task.
     """
-    anchored = (
+    rarest = F.min(F.struct("freq", "item")).alias("rarest")
+    anchored = settle(
         sets.select(F.col("items").alias("candidate"), F.explode("items").alias("item"))
-        .join(counts, "item", "left")
+        .join(counts, "item")
         .groupBy("candidate")
-        .agg(F.min(F.struct(F.coalesce("freq", F.lit(0)).alias("freq"), "item")).alias("_rarest"))
-        .select("candidate", F.col("_rarest.item").alias("item"))
+        .agg(rarest, F.count(F.lit(1)).alias("known"))
+        # A set with an item that no basket has is in none.
+        .filter(F.col("known") == F.size("candidate"))
+        .select("candidate", F.col("rarest.item").alias("item")),
+        "anchored",
+    )
+    shape = settle(
+        anchored.groupBy("item")
+        .agg(F.ceil(F.count(F.lit(1)) / TREE_SETS).cast("int").alias("trees"))
+        .join(counts, "item")
+        .select("item", "trees", F.ceil(F.col("sets") / SPLIT_BASKETS).cast("int").alias("splits")),
+        "anchors",
+    )
+    every_tree = F.explode(F.sequence(F.lit(0), F.col("trees") - 1)).alias("tree")
+    every_split = F.explode(F.sequence(F.lit(0), F.col("splits") - 1)).alias("split")
+    own_split = F.pmod(F.xxhash64("items"), F.col("splits")).cast("int").alias("split")
+    own_tree = F.pmod(F.xxhash64("candidate"), F.col("trees")).cast("int").alias("tree")
+    members = weighted.select(F.explode("items").alias("item"), "items", "weight").join(shape, "item")
+    left = members.select("item", own_split, every_tree, "items", "weight")
+    right = anchored.join(shape, "item").select("item", every_split, own_tree, "candidate")
+
+    def count(baskets_: pa.Table, candidates: pa.Table) -> pa.Table:
+        out: dict[str, list] = {"candidate": [], "next": [], "freq": []}
+        if baskets_.num_rows and candidates.num_rows:
+            names = candidates.column("candidate").to_pylist()
+            lists = baskets_.column("items").combine_chunks()
+            weights = baskets_.column("weight").to_numpy()
+            flat = lists.flatten().dictionary_encode()
+            items = flat.dictionary.to_pylist()
+            sizes = lists.value_lengths().to_numpy()
+            codes, of = flat.indices.to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+            order = np.argsort(codes, kind="stable")
+            edges = np.searchsorted(codes[order], np.arange(len(items) + 1))
+            columns = {item: of[order[edges[i] : edges[i + 1]]] for i, item in enumerate(items)}
+            starts = np.cumsum(sizes) - sizes
+            anchor = candidates.column("item")[0].as_py()
+            for number, held in _holders(_tree(names, anchor), columns, len(sizes)):
+                if not grow:
+                    out["candidate"].append(names[number])
+                    out["next"].append(None)
+                    out["freq"].append(int(weights[held].sum()))
+                    continue
+                each = sizes[held]
+                place = np.arange(each.sum()) + np.repeat(starts[held] - np.cumsum(each) + each, each)
+                sums = np.bincount(codes[place], np.repeat(weights[held], each), len(items))
+                for code in np.flatnonzero(sums):
+                    if items[code] > names[number][-1]:
+                        out["candidate"].append(names[number])
+                        out["next"].append(items[code])
+                        out["freq"].append(int(sums[code]))
+        return pa.Table.from_pydict(
+            {
+                "candidate": pa.array(out["candidate"], pa.list_(pa.string())),
+                "next": pa.array(out["next"], pa.string()),
+                "freq": pa.array(out["freq"], pa.int64()),
+            }
+        )
+
+    keys = ["item", "split", "tree"]
+    partial = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+        count, f"candidate {_ITEMSET}, next string, freq long"
     )
-    members = weighted.select(F.explode("items").alias("item"), "items", "weight")
-    met = members.join(anchored, "item")
-    return met.filter(F.size(F.array_except("candidate", "items")) == 0).drop("item")
+    by = ["candidate", "next"] if grow else ["candidate"]
+    return partial.groupBy(*by).agg(F.sum("freq").alias("freq"))
 
 
 def son_verify(
@@ -205,17 +308,16 @@ def son_verify(
     """(items, size, freq) of the candidates in at least ``support`` baskets, counted exactly."""
     weighted = weighted_baskets(rows, support) if weighted is None else weighted
     candidates = settle(candidates.select(F.array_sort("items").alias("items")).distinct(), "candidates")
-    held = _holders(weighted, candidates, _item_counts(weighted))
-    counted = held.groupBy(F.col("candidate").alias("items")).agg(F.sum("weight").alias("freq"))
-    return _shape(counted.filter(F.col("freq") >= support))
+    counted = _counted(weighted, candidates, _item_counts(weighted))
+    return _shape(counted.withColumnRenamed("candidate", "items").filter(F.col("freq") >= support))
 
 
 def son_itemsets(
-    rows: DataFrame, support: int, chunk_baskets: int = CHUNK_BASKETS
+    rows: DataFrame, support: int, chunk_baskets: int = CHUNK_BASKETS, low_support: str = "error"
 ) -> DataFrame:
     """Both phases: candidates from chunks of baskets, then the exact count."""
     weighted = weighted_baskets(rows, support)
-    found = son_candidates(rows, support, chunk_baskets, weighted=weighted)
+    found = son_candidates(rows, support, chunk_baskets, weighted=weighted, low_support=low_support)
     return son_verify(rows, found, support, weighted=weighted)
 
 
@@ -231,14 +333,10 @@ def apriori_level(rows: DataFrame, prev: DataFrame, size: int, support: int) ->
         single = _item_counts(weighted).select(F.array("item").alias("items"), "freq")
         return _shape(single.filter(F.col("freq") >= support))
     prev = settle(prev.select(F.array_sort("items").alias("items")).distinct(), "level-before")
-    held = _holders(weighted, prev, _item_counts(weighted))
-    later = F.filter("items", lambda item: item > F.element_at("candidate", -1))
-    grown = held.select("candidate", F.explode(later).alias("_next"), "weight")
     counted = (
-        grown.groupBy("candidate", "_next")
-        .agg(F.sum("weight").alias("freq"))
+        _counted(weighted, prev, _item_counts(weighted), grow=True)
         .filter(F.col("freq") >= support)
-        .select(F.concat("candidate", F.array("_next")).alias("items"), "freq")
+        .select(F.concat("candidate", F.array("next")).alias("items"), "freq")
     )
     parts = counted.select(
         F.col("items").alias("candidate"),

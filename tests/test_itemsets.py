@@ -50,8 +50,31 @@ def test_both_methods_match_brute_force(frame, seed, support):
     rows = _rows(seed)
     expected = _brute(rows, support)
     assert _found(itemsets.frequent_itemsets(frame(rows), support)) == expected
-    for chunk in (7, 100_000):
-        assert _found(itemsets.son_itemsets(frame(rows, 1), support, chunk)) == expected
+    for chunk in (25, 100_000):
+        low = "growth" if support < 30 else "error"
+        assert _found(itemsets.son_itemsets(frame(rows, 1), support, chunk, low)) == expected
+
+
+@pytest.mark.parametrize("bounds", [(1, 1), (3, 2), (20_000, 50_000)])
+def test_counts_split_by_baskets_and_by_trees(frame, spark, monkeypatch, bounds):
+    """Every item's baskets in splits of any size, every item's sets in trees of any size."""
+    monkeypatch.setattr(itemsets, "SPLIT_BASKETS", bounds[0])
+    monkeypatch.setattr(itemsets, "TREE_SETS", bounds[1])
+    rows = _rows(11)
+    every = _brute(rows, 1)
+    wanted = spark.createDataFrame([(list(k),) for k in every], "items array<string>")
+    assert _found(itemsets.son_verify(frame(rows), wanted, 1)) == every
+    level = itemsets.son_verify(frame(rows), wanted, 4).filter("size = 2")
+    grown = _found(itemsets.apriori_level(frame(rows), level, 3, 4))
+    assert grown == {k: n for k, n in every.items() if len(k) == 3 and n >= 4}
+
+
+def test_support_too_low_for_chunks_is_an_error(frame):
+    rows = _rows(0)
+    with pytest.raises(ValueError, match="larger chunks"):
+        itemsets.son_candidates(frame(rows), 3, 7)
+    with pytest.raises(ValueError, match="low_support"):
+        itemsets.son_candidates(frame(rows), 3, 7, low_support="other")
 
 
 def test_support_at_and_above_the_largest_count(frame):
@@ -66,9 +89,9 @@ def test_support_at_and_above_the_largest_count(frame):
 def test_candidates_miss_nothing(frame):
     rows = _rows(4)
     found = {
-        tuple(r["items"]) for r in itemsets.son_candidates(frame(rows), 8, 9).collect()
+        tuple(r["items"]) for r in itemsets.son_candidates(frame(rows), 15, 25).collect()
     }
-    assert set(_brute(rows, 8)) <= found
+    assert set(_brute(rows, 15)) <= found
 
 
 def test_levels(frame):
@@ -103,7 +126,7 @@ def test_low_support_does_not_explode(frame):
     dice = random.Random(8)
     rows = [(b, f"i{dice.randrange(60)}") for b in range(200) for _ in range(10)]
     frequent = itemsets.frequent_itemsets(frame(rows), 3).count()
-    candidates = itemsets.son_candidates(frame(rows), 3, 50).count()
+    candidates = itemsets.son_candidates(frame(rows), 3, 50, low_support="growth").count()
     assert candidates <= 1.2 * frequent
 
 
