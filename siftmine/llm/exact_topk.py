@@ -101,13 +101,16 @@ def _in_blocks(rows: DataFrame, size: int, width: int, purpose: str) -> DataFram
     return settle(gathered.mapInArrow(packed, schema), f"{purpose}-blocks")
 
 
-def _open_blocks(bundles: DataFrame, queries: DataFrame, n_bundles: int, width: int) -> DataFrame:
-    """(query_block, query, block, bound): blocks that may hold a score up to the threshold of a query."""
+def _open_blocks(bundles: DataFrame, queries: DataFrame, n_bundles: int, width: int, first: int | None) -> DataFrame:
+    """(query_block, query, block, bound): blocks that may hold a score up to the threshold of a query.
+
+    With ``first`` a bundle hands on only that many of the best for each query.
+    """
 
     def survivors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                entries = row["entries"]
+                entries = sorted(row["entries"], key=lambda entry: entry["block"])
                 most = np.concatenate([_matrix(entry["most"], width) for entry in entries])
                 least = np.concatenate([_matrix(entry["least"], width) for entry in entries])
                 number = np.array([entry["block"] for entry in entries], np.int64)
@@ -115,7 +118,14 @@ def _open_blocks(bundles: DataFrame, queries: DataFrame, n_bundles: int, width:
                 thresholds = np.full(len(bounds), _LOWEST)
                 for entry in row["thresholds"] or ():
                     thresholds[entry["query"]] = entry["score"]
-                query, block = np.nonzero(bounds >= thresholds[:, None])
+                open_ = bounds >= thresholds[:, None]
+                if first is not None and first < bounds.shape[1]:
+                    # Falling bounds, ties to the smaller block, as the blocks are in their order.
+                    best = np.argsort(np.invert(bounds), axis=1, kind="stable")[:, :first]
+                    among = np.zeros_like(open_)
+                    np.put_along_axis(among, best, True, axis=1)
+                    open_ &= among
+                query, block = np.nonzero(open_)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(query), row["query_block"])),
@@ -204,6 +214,7 @@ def top_k(
     n_bundles = max(1, bundles.count())
 
     found = pairs_done = None
+    had = 0
     for first in (*FIRST_BLOCKS, None):
         if found is None:
             limits = queries.withColumn("thresholds", F.lit(None).cast("array<struct<query: int, score: long>>"))
@@ -211,7 +222,10 @@ def top_k(
             kth = found.filter(F.col("rank") == k).groupBy("query_block")
             known = kth.agg(F.collect_list(F.struct("query", "score")).alias("thresholds"))
             limits = queries.join(known, "query_block", "left")
-        pairs = _open_blocks(bundles, limits, n_bundles, width)
+        # Those that a query has had already may be among a bundle's best.
+        best = None if first is None else first + had
+        had += first or 0
+        pairs = _open_blocks(bundles, limits, n_bundles, width, best)
         if pairs_done is not None:
             pairs = pairs.join(pairs_done, ["query_block", "query", "block"], "left_anti")
         if first is not None:

@@ -9,7 +9,10 @@ first. A block that may miss at most k words of a template must have one of
 the template's k + 1 rarest (prefix filter), as many distinct words as must
 match (length filter), and counting stops as soon as the rest of the template
 cannot make up for what is missing (positional filter). All three are exact.
-Templates are a fixed small list and go to every task; texts stay where they
+A short template is matched only by a block that has all words which tell its
+label from the others (``mit``, ``nc``), and one of a licence with stricter
+variants by no block that names such a variant. Templates are a fixed small
+list and go to every task; texts stay where they
 are, and only the counts of template words are gathered.
 
 Defined cases: null text counts as empty: no words, places, or labels, and a
@@ -47,12 +50,17 @@ TEMPLATES = {
     "bsd": (
         "redistribution and use in source and binary forms with or without modification are permitted",
         "neither the name of the copyright holder nor the names of its contributors may be used to endorse",
+        "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     ),
     "cc-by": (
         "this work is licensed under a creative commons attribution 4 0 international license",
         "licensed under creative commons attribution",
     ),
-    "cc-by-nc": ("licensed under cc by nc 4 0",),
+    "cc-by-nc": (
+        "licensed under cc by nc 4 0",
+        "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
+        "licensed under creative commons attribution noncommercial",
+    ),
     "gpl": (
         "this work is licensed under the gnu general public license version 3",
         "you can redistribute it and or modify it under the terms of the gnu general public license",
@@ -61,8 +69,14 @@ TEMPLATES = {
     "mit": (
         "released under the mit license",
         "permission is hereby granted free of charge to any person obtaining a copy of this software",
+        "to deal in the software without restriction including the rights to use copy modify merge publish distribute sublicense",
+        "the above copyright notice and this permission notice shall be included in all copies of the software",
     ),
 }
+#: Words of stricter variants: a block that has one is not a notice of the label.
+EXCLUDED = {"cc-by": ("nc", "noncommercial", "nd", "noderivatives", "sa", "sharealike")}
+#: Templates of fewer distinct words are short.
+SHORT = 14
 THRESHOLD = 0.8
 BLOCK_WORDS = 64
 
@@ -95,16 +109,24 @@ def phrase_places(words: list[bytes], phrases: Mapping[str, str] = BASE_PHRASES)
 class Template:
     """Distinct words of a template, rare ones first, and how many a block must have."""
 
-    def __init__(self, label: str, text: str, frequency: Mapping[bytes, int], threshold: float):
-        self.label, self.text = label, text
+    def __init__(
+        self,
+        label: str,
+        text: str,
+        frequency: Mapping[bytes, int],
+        threshold: float,
+        required: frozenset[bytes] = frozenset(),
+        excluded: frozenset[bytes] = frozenset(),
+    ):
+        self.label, self.text, self.required, self.excluded = label, text, required, excluded
         distinct = set(words_of(text))
         self.words = sorted(distinct, key=lambda word: (frequency.get(word, 0), word))
         self.needed = max(1, -int(-(threshold * len(distinct) - 1e-9) // 1))
         self.prefix = self.words[: len(distinct) - self.needed + 1]
 
     def containment(self, block: set[bytes]) -> float:
-        """Share of the words that the block has; 0 below the threshold."""
-        if len(block) < self.needed:
+        """Share of the words that the block has; 0 below the threshold, or for another label's block."""
+        if len(block) < self.needed or not self.required <= block or self.excluded & block:
             return 0.0
         misses = len(self.words) - self.needed
         for word in self.words:
@@ -115,6 +137,19 @@ class Template:
         return (self.needed + misses) / len(self.words)
 
 
+def distinguishing(templates: Mapping[str, Sequence[str]], short: int = SHORT) -> dict[str, frozenset[bytes]]:
+    """By short template: its words that no template of another label has."""
+    by_label = {label: {word for line in lines for word in words_of(line)} for label, lines in templates.items()}
+    found = {}
+    for label, lines in templates.items():
+        others = set().union(*[words for other, words in by_label.items() if other != label])
+        for line in lines:
+            own = set(words_of(line))
+            if len(own) < short:
+                found[line] = frozenset(own - others)
+    return found
+
+
 def template_matches(
     words: list[bytes], templates: Sequence[Template], by_prefix: Mapping[bytes, list[int]], block_words: int
 ) -> list[tuple[str, str, int, float]]:
@@ -175,7 +210,18 @@ def scan(
     # At most one row for each word of the templates.
     counted = word_frequencies(docs, vocabulary, text).toArrow()
     frequency = dict(zip(counted.column("word").to_pylist(), counted.column("n").to_pylist()))
-    ordered = [Template(label, line, frequency, threshold) for label, line in listed]
+    required = distinguishing(templates)
+    ordered = [
+        Template(
+            label,
+            line,
+            frequency,
+            threshold,
+            required.get(line, frozenset()),
+            frozenset(word.encode() for word in EXCLUDED.get(label, ())),
+        )
+        for label, line in listed
+    ]
     by_prefix: dict[bytes, list[int]] = {}
     for number, template in enumerate(ordered):
         for word in template.prefix:

@@ -82,6 +82,8 @@ def covered(text, threshold=license_scan.THRESHOLD):
     """Labels of templates that some window contains, by trying all."""
     words = WORD.findall(lowered(text))
     labels, best = set(), 0.0
+    every = license_scan.TEMPLATES
+    words_by = {label: {w for line in lines for w in line.split()} for label, lines in every.items()}
     for start in range(0, max(len(words), 1), 32):
         if start and start + 32 >= len(words):
             continue
@@ -90,6 +92,11 @@ def covered(text, threshold=license_scan.THRESHOLD):
             for line in lines:
                 own = set(line.split())
                 share = len(own & block) / len(own)
+                elsewhere = {w for other, ws in words_by.items() if other != label for w in ws}
+                if len(own) < license_scan.SHORT and not own - elsewhere <= block:
+                    continue
+                if block & set(license_scan.EXCLUDED.get(label, ())):
+                    continue
                 if share >= threshold - 1e-9:
                     labels.add(label)
                     best = max(best, share)
@@ -109,6 +116,26 @@ TEXTS = [
 ]
 
 
+@pytest.mark.parametrize(
+    "text, labels",
+    [
+        ("Licensed under CC BY 4.0", "cc-by"),
+        ("licensed under CC BY-NC 4.0", "cc-by,cc-by-nc"),
+        ("released under the Apache License", "apache"),
+        ("released under the BSD license", ""),
+        ("This work is licensed under Creative Commons Attribution-NonCommercial", "cc-by-nc"),
+        ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+        ("released under the MIT license", "mit"),
+        ("Redistributions of source code must retain the above copyright notice, this list of conditions "
+         "and the following disclaimer.", "bsd"),
+    ],
+)
+def test_common_notices(spark, text, labels):
+    found = license_scan.scan(frame(spark, [(1, text), (2, f"some words before {text} and after")]))
+    shown = found.select(license_scan.label_columns()["labels"].alias("labels")).collect()
+    assert [r["labels"] for r in shown] == [labels] * 2
+
+
 def test_scan_equals_brute_force(spark):
     rng = random.Random(6)
     pool = [w for lines in license_scan.TEMPLATES.values() for line in lines for w in line.split()]
