@@ -76,7 +76,7 @@ TEMPLATES = {
 #: Words of stricter variants: a block that has one is not a notice of the label.
 EXCLUDED = {"cc-by": ("nc", "noncommercial", "nd", "noderivatives", "sa", "sharealike")}
 #: Templates of fewer distinct words are short.
-SHORT = 14
+SHORT = 15
 THRESHOLD = 0.8
 BLOCK_WORDS = 64
 
