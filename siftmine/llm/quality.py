@@ -49,7 +49,7 @@ ORDER = 5
 SYMBOL_BITS = 9
 SYMBOLS = 257
 #: Bytes whose n-grams are counted at once.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 #: A model of so many n-grams and contexts (16 bytes each) is sent to every task; a larger one is joined.
 BROADCAST_NGRAMS = 4_000_000
 BROADCAST_IDS = 1_000_000
