@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from siftmine.functions.text import split_tokens
+from siftmine.operators.skew import settle
 
 
 def tokenize_docs(
@@ -28,6 +29,28 @@ def tfidf(tf: DataFrame) -> DataFrame:
     return IDF(inputCol="tf", outputCol="tfidf").fit(tf).transform(tf)
 
 
+def bucket_tf(docs: DataFrame, num_features: int = 2**18, id_col: str = "doc_id") -> DataFrame:
+    """(id, bucket, n): how often the terms of each bucket are in a document.
+
+    A term's bucket is the first 32 bits of its md5 modulo ``num_features``, so
+    any engine finds the same ones. Rows of one id count as one document; a
+    document without tokens has no rows.
+    """
+    terms = docs.select(id_col, F.explode("tokens").alias("_term"))
+    bits = F.conv(F.substring(F.md5(F.col("_term").cast("binary")), 1, 8), 16, 10).cast("long")
+    bucket = F.pmod(bits, F.lit(num_features)).cast("int")
+    return terms.groupBy(id_col, bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def bucket_tfidf(docs: DataFrame, num_features: int = 2**18, id_col: str = "doc_id") -> DataFrame:
+    """(id, bucket, n, weight): the counts of ``bucket_tf`` times ln((m + 1) / (df + 1)) for m documents."""
+    m = docs.select(id_col).distinct().count()
+    counts = settle(bucket_tf(docs, num_features, id_col), "bucket-counts")
+    # One row per bucket, of which there are at most num_features.
+    idf = counts.groupBy("bucket").agg(F.log((m + 1) / (F.count(F.lit(1)) + 1)).alias("_idf"))
+    return counts.join(idf, "bucket").select(id_col, "bucket", "n", (F.col("n") * F.col("_idf")).alias("weight"))
+
+
 def term_idf(docs: DataFrame, min_df: int = 1) -> DataFrame:
     """(term, df, idf) by exact term, with idf = ln((m + 1) / (df + 1)) for m documents."""
     m = docs.agg(F.count(F.lit(1))).scalar()

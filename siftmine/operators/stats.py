@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftmine.functions.values import lenient_double, per_year, saturating_int, strip_commas
@@ -89,12 +89,26 @@ def align_metrics(frames: list[DataFrame], keys: list[str]) -> DataFrame:
     return reduce(lambda left, right: left.join(right, keys, "full"), frames)
 
 
-def partition_profile(df: DataFrame, key: str | None = None, n: int | None = None) -> DataFrame:
-    """Rows per physical partition, after hash repartitioning into ``n`` by ``key`` if given.
+def md5_partition(key: str, n: int) -> Column:
+    """The partition of 0 to n - 1 that the md5 of ``key`` names; null goes with the empty text."""
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return F.pmod(F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(n)).cast("int")
 
-    Meant to show how a key spreads, so a heavy key stays in one partition here.
+
+def partition_profile(
+    df: DataFrame, key: str | None = None, n: int | None = None, layout: str = "hash"
+) -> DataFrame:
+    """Rows per physical partition, after repartitioning into ``n`` by ``key`` if given.
+
+    ``layout='hash'`` leaves the placing to Spark; ``'md5'`` names each row's
+    partition by the key's md5, the same in any engine. Meant to show how a key
+    spreads, so a heavy key stays in one partition here.
     """
-    if n is not None:
+    if layout not in ("hash", "md5") or (layout == "md5" and (key is None or n is None)):
+        raise ValueError("layout must be 'hash', or 'md5' with a key and a number of partitions")
+    if layout == "md5":
+        df = df.repartitionById(n, md5_partition(key, n))
+    elif n is not None:
         df = df.repartition(n, key) if key else df.repartition(n)
     return df.groupBy(F.spark_partition_id().alias("partition")).agg(
         F.count(F.lit(1)).alias("rows")

@@ -45,10 +45,12 @@ def salaried_by_country(
     return group_count_with_total(sentinel_filter(survey, salary, nulls="keep"), country)
 
 
-def partition_comparison(survey: DataFrame, key: str = "country", n: int = 2) -> DataFrame:
-    """(layout, partition, rows) as read and after hash repartitioning by ``key``."""
+def partition_comparison(
+    survey: DataFrame, key: str = "country", n: int = 2, layout: str = "hash"
+) -> DataFrame:
+    """(layout, partition, rows) as read and after repartitioning by ``key``."""
     as_read = partition_profile(survey).withColumn("layout", F.lit("standard"))
-    by_key = partition_profile(survey, key, n).withColumn("layout", F.lit("partition"))
+    by_key = partition_profile(survey, key, n, layout).withColumn("layout", F.lit("partition"))
     return as_read.unionByName(by_key).select("layout", "partition", "rows")
 
 
@@ -147,11 +149,13 @@ def mllib_report(
     algorithm: str = "kmeans",
     num_features: int = MLLIB_BUCKETS,
     seed: int = 42,
+    id_col: str = "doc_id",
 ) -> DataFrame:
-    """Cluster ``docs`` (tokens) on TF-IDF with an MLlib estimator."""
+    """Cluster ``docs`` (id, tokens) on TF-IDF with an MLlib estimator."""
     if algorithm not in ("kmeans", "bisecting"):
         raise ValueError("algorithm must be 'kmeans' or 'bisecting'")
-    counts = settle(hashed_tf(docs, num_features), "features")
+    # Dealt out by id, as each row is read many times.
+    counts = settle(hashed_tf(docs.repartition(id_col), num_features), "features")
     features = settle(tfidf(counts), "features")
     fit, name = {
         "kmeans": (kmeans, "K-Means"),

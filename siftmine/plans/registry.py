@@ -89,6 +89,14 @@ def partition_profile(spark, folder):
     return found.groupBy("layout").agg(F.sum("rows").alias("rows"))
 
 
+@query
+def partition_layout(spark, folder):
+    # Every partition by its number: the layout itself, not its sum.
+    survey = inputs.survey(spark, folder)
+    found = jobs.partition_comparison(survey, n=sql.PARTITIONS, layout="md5")
+    return found.filter(F.col("layout") == "partition").select("partition", "rows")
+
+
 # Sources and sinks, by writing and reading back
 
 
@@ -196,6 +204,12 @@ def item_pair_similarity(spark, folder):
     return recommend.item_pair_similarity(dev)
 
 
+@query
+def similar_items(spark, folder):
+    dev = recommend.item_deviations(inputs.train_test(spark, folder)[0])
+    return recommend.similar_items(dev, sql.NEIGHBOURS)
+
+
 def _cf(spark, folder, denominator):
     train, test = inputs.train_test(spark, folder)
     return recommend.item_cf_predict(train, test, denominator=denominator)
@@ -379,6 +393,17 @@ def tfidf(spark, folder):
     return _vector_figures(features.tfidf(counts), "tfidf")
 
 
+@query
+def bucket_tf(spark, folder):
+    return features.bucket_tf(inputs.documents(spark, folder), jobs.MLLIB_BUCKETS)
+
+
+@query
+def bucket_tfidf(spark, folder):
+    found = features.bucket_tfidf(inputs.documents(spark, folder), jobs.MLLIB_BUCKETS)
+    return _round(found, 6, "weight")
+
+
 @query
 def kmeans_seed(spark, folder):
     seeds = clustering.kmeans_seed(inputs.vectors(spark, folder), "vec_id", sql.K, sql.SEED)

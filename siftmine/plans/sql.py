@@ -16,6 +16,7 @@ PREFIX = "th"
 NEIGHBOURS = 10
 BATCHES = 4
 TIMED_BATCHES = 2
+PARTITIONS = 7
 
 SURVEY = """
 survey AS (
@@ -372,6 +373,14 @@ REPORT = """
 SELECT size, row_number() OVER (PARTITION BY size ORDER BY shown) - 1 AS pos, shown
 FROM (SELECT size, '(' || replace(items, ',', ', ') || ')' AS shown FROM found)"""
 
+# 82 is the number of buckets of the clustering job.
+BUCKETS = f"""{TOKENS},
+counts AS (
+  SELECT doc_id, CAST(CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 82 AS INTEGER) AS bucket,
+    count(*) AS n
+  FROM (SELECT doc_id, unnest(tokens) AS term FROM tokens) GROUP BY ALL),
+dfs AS (SELECT bucket, count(*) AS df FROM counts GROUP BY bucket)"""
+
 ORACLE: dict[str, str] = {
     "preview": f"WITH {SURVEY} SELECT * FROM survey ORDER BY respondent LIMIT 10",
     "sentinel_filter_keep": f"""WITH {SURVEY} SELECT * FROM survey
@@ -432,6 +441,13 @@ ORACLE: dict[str, str] = {
       FROM ratings JOIN im USING (item)""",
     "item_pair_similarity": f"""WITH {PAIRS}
       SELECT * FROM sims""",
+    "similar_items": f"""WITH {PAIRS},
+      both_ways AS (
+        SELECT item_a AS item, item_b AS neighbour, sim, n_common FROM sims
+        UNION ALL SELECT item_b, item_a, sim, n_common FROM sims)
+      SELECT item, CAST(rank AS INTEGER) AS rank, neighbour, sim, n_common FROM (
+        SELECT *, row_number() OVER (PARTITION BY item ORDER BY sim DESC, neighbour) AS rank
+        FROM both_ways) WHERE rank <= {NEIGHBOURS}""",
     "item_cf_predict": f"WITH {CF_ABS} SELECT * FROM cf",
     "item_cf_predict_signed": f"WITH {CF_SIGNED} SELECT * FROM cf",
     "rating_error_histogram": f"WITH {CF_ABS}, {_histogram('cf', 'abs(rating - pred_rating)')}",
@@ -464,9 +480,16 @@ ORACLE: dict[str, str] = {
           SELECT unnest(list_distinct(tokens)) AS term FROM tokens) GROUP BY term)
       SELECT term, df, round(ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) AS idf
       FROM df""",
+    "bucket_tf": f"WITH {BUCKETS} SELECT * FROM counts",
+    "bucket_tfidf": f"""WITH {BUCKETS} SELECT doc_id, bucket, n,
+      round(n * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)), 6) + 0.0e0 AS weight
+      FROM counts JOIN dfs USING (bucket)""",
     "hashed_tf": f"""WITH {TOKENS} SELECT doc_id, CAST(len(tokens) AS DOUBLE) AS total FROM tokens""",
     "partition_profile": f"""WITH {SURVEY}
       SELECT unnest(['standard', 'partition']) AS layout, (SELECT count(*) FROM survey) AS rows""",
+    "partition_layout": f"""WITH {SURVEY}
+      SELECT CAST(CAST('0x' || substr(md5(coalesce(country, '')), 1, 8) AS BIGINT) % {PARTITIONS} AS INTEGER)
+        AS partition, count(*) AS rows FROM survey GROUP BY 1""",
     "kmeans": "SELECT count(*) AS rows, true AS better FROM embeddings",
     "bisecting_kmeans": "SELECT count(*) AS rows, true AS better FROM embeddings",
     "kmeans_seed": f"WITH {SEEDS} SELECT cluster, vec_id FROM seeds",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,15 +29,23 @@ def build_session(app_name: str, master: str | None = None, **conf) -> SparkSess
     return builder.getOrCreate()
 
 
+def runs_alone(master: str) -> bool:
+    """Whether the master stands for a single process."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables, which all executors can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Where that is unset, it
-    is a folder in Spark's warehouse.
+    The cluster names it in ``spark.checkpoint.dir``. Where that is unset in a
+    session of one machine, it is a folder in Spark's warehouse; on a cluster
+    that is an error, as the warehouse may be a folder of the driver's machine.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not runs_alone(context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors can reach")
         folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_siftmine"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)

@@ -1,3 +1,6 @@
+import hashlib
+from collections import Counter
+
 import pytest
 
 from siftmine.functions.values import INT_MAX, INT_MIN, saturating_int
@@ -82,5 +85,16 @@ def test_partition_profile_repartitions(spark, rows):
     assert jobs.partition_comparison(df, "k", 2).filter("layout = 'partition'").count() <= 2
 
 
+def test_md5_layout_names_the_partitions(spark, rows):
+    keys = ["a", "b", "c", None, "", "a", "é"]
+    df = spark.createDataFrame([(key,) for key in keys], "k string")
+    found = stats.partition_profile(df, "k", 3, "md5").collect()
+    expected = Counter(int(hashlib.md5((key or "").encode()).hexdigest()[:8], 16) % 3 for key in keys)
+    assert {r["partition"]: r["rows"] for r in found} == expected
+    assert stats.partition_profile(df.limit(0), "k", 3, "md5").count() == 0
+    with pytest.raises(ValueError):
+        stats.partition_profile(df, layout="md5")
+
+
 def test_preview(spark, rows):
     assert [r[0] for r in rows(stats.preview(spark.range(50), 3, ["id"]))] == [0, 1, 2]

@@ -1,9 +1,13 @@
 import hashlib
+import math
+from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from siftmine.functions.text import bit_positions, character_sum, java_string_hash, split_tokens
 from siftmine.operators import features, ids, sampling
+from siftmine.session import runs_alone
 
 
 def _column(spark, values, expression):
@@ -91,3 +95,28 @@ def test_term_idf(spark, rows):
     found = {t: (n, round(i, 6)) for t, n, i in rows(features.term_idf(
         features.tokenize_docs(df, "text")))}
     assert found == {"a": (2, 0.0), "b": (1, 0.405465)}
+
+
+@pytest.mark.parametrize("num_features", [1, 7, 2**18])
+def test_bucket_features(spark, num_features):
+    docs = [(1, ["a", "b", "a"]), (2, ["b", "", "é"]), (3, []), (4, None), (5, ["b"] * 1000)]
+    table = spark.createDataFrame(docs, "doc_id long, tokens array<string>")
+
+    def bucket(term):
+        return int(hashlib.md5(term.encode()).hexdigest()[:8], 16) % num_features
+
+    counts = Counter((i, bucket(term)) for i, terms in docs for term in terms or [])
+    found = features.bucket_tf(table, num_features).collect()
+    assert {(r["doc_id"], r["bucket"]): r["n"] for r in found} == counts
+    df = Counter(place for _, place in counts)
+    weighted = features.bucket_tfidf(table, num_features).collect()
+    assert len(weighted) == len(counts)
+    for r in weighted:
+        assert r["n"] == counts[r["doc_id"], r["bucket"]]
+        assert r["weight"] == pytest.approx(r["n"] * math.log(6 / (df[r["bucket"]] + 1)))
+    assert features.bucket_tfidf(table.limit(0), num_features).count() == 0
+
+
+def test_only_single_processes_do_without_a_shared_folder():
+    assert all(map(runs_alone, ["local", "local[8]", "local[*]", "local[4,2]"]))
+    assert not any(map(runs_alone, ["local-cluster[3,2,3000]", "spark://host:7077", "yarn", "k8s://host"]))
