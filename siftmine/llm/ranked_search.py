@@ -82,27 +82,38 @@ def _spread(numbers: np.ndarray) -> np.ndarray:
         (2, 0x3333333333333333),
         (1, 0x5555555555555555),
     ):
-        out = (out | (out << np.uint64(shift))) & np.uint64(mask)
+        out |= out << np.uint64(shift)
+        out &= np.uint64(mask)
     return out
 
 
 def build_treap(rows: np.ndarray, columns: np.ndarray, impacts: np.ndarray, height: int) -> tuple[int, list[bytes], list[bytes]]:
     """(largest impact, child bits of each level, distances to the quadrant's impact) of cells, each given once."""
-    codes = (_spread(rows) << np.uint64(1)) | _spread(columns)
+    codes = _spread(rows)
+    codes <<= np.uint64(1)
+    codes |= _spread(columns)
     order = np.argsort(codes)
-    codes, most = codes[order], impacts[order].astype(np.int64)
+    codes, most = codes[order], impacts[order]
+    del order
     bits, below = [], []
     for _ in range(height):
         above = codes >> np.uint64(2)
         first = np.concatenate([[True], above[1:] != above[:-1]])
-        parent = np.cumsum(first) - 1
         starts = np.flatnonzero(first)
+        above = above[starts]
+        # A quadrant and its quarter, as a place among the quarters of all quadrants.
+        place = np.cumsum(first, dtype=np.int32)
+        del first
+        place -= 1
         parent_most = np.maximum.reduceat(most, starts)
+        below.append((parent_most[place] - most).astype(np.int32).tobytes())
+        place *= 4
+        codes &= np.uint64(3)
+        place += codes.astype(np.int32)
         there = np.zeros(4 * len(starts), bool)
-        there[4 * parent + (codes & np.uint64(3)).astype(np.int64)] = True
+        there[place] = True
         bits.append(np.packbits(there, bitorder="little").tobytes())
-        below.append((parent_most[parent] - most).astype(np.int32).tobytes())
-        codes, most = above[starts], parent_most
+        codes, most = above, parent_most
     return int(most[0]), bits[::-1], below[::-1]
 
 
@@ -244,13 +255,14 @@ class _Shard:
             if found:
                 self.ids.append(doc)
                 sizes.append(len(found))
-                own.append(np.fromiter(map(self.number.__getitem__, found), np.int64, len(found)))
+                own.append(np.fromiter(map(self.number.__getitem__, found), np.int32, len(found)))
             self.size += len(text or b"")
         if own:
-            column = np.repeat(np.arange(len(self.lengths), len(self.ids)), sizes)
+            # One document at a time: a batch may hold megabytes of words.
+            for at, numbers in enumerate(own, len(self.lengths)):
+                term, tf = np.unique(numbers, return_counts=True)
+                self.cells.append((np.full(len(term), at, np.int32), term, tf.astype(np.int32)))
             self.lengths += sizes
-            cell, tf = np.unique((column << 32) | np.concatenate(own), return_counts=True)
-            self.cells.append((cell >> 32, cell & 0xFFFFFFFF, tf))
 
     def full(self) -> bool:
         return self.size >= SHARD_BYTES or len(self.ids) >= SHARD_DOCS
@@ -258,14 +270,21 @@ class _Shard:
     def row(self, n_docs: int, n_terms: int) -> Iterator[pa.RecordBatch]:
         if not self.ids:
             return
+        # Numbers of a shard are below 2 ** 31; the parts are let go as they are put together.
         column, term, tf = (np.concatenate(parts) for parts in zip(*self.cells))
+        self.cells = []
         frequency = np.bincount(term, minlength=len(self.number))
         order = np.argsort(-frequency, kind="stable")
-        row_of = np.empty(len(order), np.int64)
+        row_of = np.empty(len(order), np.int32)
         row_of[order] = np.arange(len(order))
         m = length_factor(np.array(self.lengths, np.int64), n_docs, n_terms)
         height = (max(len(order), len(self.ids)) - 1).bit_length()
-        root, bits, below = build_treap(row_of[term], column, impact(tf, m[column]), height)
+        impacts = impact(tf.astype(np.int64), m[column])
+        del tf
+        rows = row_of[term]
+        del term
+        root, bits, below = build_treap(rows, column, impacts, height)
+        del rows, column, impacts
         words = list(self.number)
         values = [
             np.array(self.ids, np.int64).tobytes(),
