@@ -332,8 +332,9 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
         yield from shard.row(n_docs, n_terms)
 
     path = run_folder(spark, "lexical-index")
-    # Rows are of many megabytes: the writer looks at its buffers after each.
+    # Rows are of many megabytes: the writer looks at its buffers after each, and a reader holds few at once.
     writer = rows.mapInArrow(shards, _SCHEMA).write.option("parquet.page.size.row.check.min", 1)
+    writer = writer.option("parquet.block.size", SHARD_BYTES)
     writer.option("parquet.page.size.row.check.max", 1).parquet(path)
     return LexicalIndex(spark.read.schema(_SCHEMA).parquet(path), n_docs, n_terms)
 
@@ -365,9 +366,9 @@ def _frequencies(index: LexicalIndex, wanted: set[bytes]) -> DataFrame:
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                numbers = np.frombuffer(row["frequencies"], np.int32)
-                terms = row["terms"].split(b" ")
+            for at in range(batch.num_rows):
+                numbers = np.frombuffer(batch.column("frequencies")[at].as_buffer(), np.int32)
+                terms = batch.column("terms")[at].as_py().split(b" ")
                 found = [at for at, term in enumerate(terms) if term in wanted]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([terms[at] for at in found], pa.binary()), pa.array(numbers[found].astype(np.int64))],
@@ -391,22 +392,29 @@ def _search_block(index: LexicalIndex, weighted: list[tuple[int, list[tuple[byte
         none = np.zeros(0, np.int64)
         best = [(none, none) for _ in weighted]
         for batch in batches:
-            for row in batch.to_pylist():
-                row_of = {term: at for at, term in enumerate(row["terms"].split(b" ")) if term in wanted}
-                doc_ids = np.frombuffer(row["docs"], np.int64)
-                treap = Treap(row["height"], row["root"], row["bits"], row["below"])
+            for at in range(batch.num_rows):
+                row = {name: batch.column(name)[at] for name in batch.schema.names}
+                row_of = {term: at for at, term in enumerate(row["terms"].as_py().split(b" ")) if term in wanted}
+                # The levels stay in the batch; nothing of a shard is copied.
+                doc_ids = np.frombuffer(row["docs"].as_buffer(), np.int64)
+                bits, below = ([level.as_buffer() for level in row[name]] for name in ("bits", "below"))
+                treap = Treap(row["height"].as_py(), row["root"].as_py(), bits, below)
                 for number, (_, terms) in enumerate(weighted):
                     known = [(row_of[term], weight) for term, weight in terms if term in row_of]
                     if known:
                         rows, weights = np.array(known, np.int64).T
                         best[number] = search_treap(treap, rows, weights, doc_ids, best[number], k)
+                # Let go before the next shard comes.
+                del row, row_of, doc_ids, bits, below, treap
+            del batch
         for (item, _), (scores, ids) in zip(weighted, best):
             if len(ids):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(ids), item)), pa.array(ids), pa.array(scores)], ["item", "doc_id", "score"]
                 )
 
-    found = index.shards.mapInArrow(searched, "item long, doc_id long, score long")
+    columns = index.shards.select("docs", "terms", "height", "root", "bits", "below")
+    found = columns.mapInArrow(searched, "item long, doc_id long, score long")
     return found.withColumn("part", F.spark_partition_id() % MERGE_PARTS)
 
 
