@@ -25,6 +25,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 _COUNT, _COST = -1, -2  # coordinates under which partial sums carry size and cost
+#: Numbers that a packed block of rows holds at most, unless one row has more.
+BLOCK_NUMBERS = 500_000
+#: Partial sums that a task gathers before it adds up those of one coordinate.
+TASK_SUMS = 4_000_000
+#: Sums of 2 to this power cells (coordinate, cluster) travel in one row.
+SLICE_BITS = 16
+_SUMS = [("slice", pa.int64()), ("cells", pa.binary()), ("sums", pa.binary())]
+#: Coordinates up to which a table of places takes the place of a search.
+PLACES = 2**22
 
 
 class _Block:
@@ -125,8 +134,14 @@ class Centroids:
         """The entries in active coordinates, with the place of the coordinate."""
         if not len(self.active):
             return rows[:0], values[:0], columns[:0]
-        place = np.minimum(np.searchsorted(self.active, columns), len(self.active) - 1)
-        hit = self.active[place] == columns
+        if self.d <= PLACES:
+            table = np.full(max(self.d, int(columns.max(initial=-1)) + 1), -1, np.int32)
+            table[self.active] = np.arange(len(self.active))
+            place = table[columns]
+            hit = place >= 0
+        else:
+            place = np.minimum(np.searchsorted(self.active, columns), len(self.active) - 1)
+            hit = self.active[place] == columns
         return rows[hit], values[hit], place[hit]
 
     def moved(
@@ -250,35 +265,131 @@ def kmeans_update(assigned: DataFrame, centroids, features: str = "features") ->
     )
 
 
+def _packed(df: DataFrame, features: str) -> DataFrame:
+    """(n, width, sizes, coordinates, places, numbers): the rows in blocks that every step reads as they are.
+
+    Sparse rows have sizes, the block's coordinates, and the place of each number's coordinate among them.
+    """
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            block = _Block(batch.column(0))
+            if not block.n:
+                continue
+            if block.dense is not None:
+                each = np.full(block.n, block.dense.shape[1])
+            else:
+                each = np.bincount(block.rows, minlength=block.n)
+            ends = np.cumsum(each)
+            first = 0
+            while first < block.n:
+                before = ends[first] - each[first]
+                last = max(first + 1, int(np.searchsorted(ends, before + BLOCK_NUMBERS, "right")))
+                if block.dense is not None:
+                    cells = [[], np.empty(0), np.empty(0), block.dense[first:last].astype(np.float64).reshape(-1)]
+                else:
+                    columns, places = np.unique(block.columns[before : ends[last - 1]], return_inverse=True)
+                    cells = [each[first:last], columns, places, block.values[before : ends[last - 1]]]
+                kinds = (np.int32, np.int64, np.int32, np.float64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([last - first], pa.int32()),
+                        pa.array([block.dense.shape[1] if block.dense is not None else -1], pa.int32()),
+                        *[pa.array([np.asarray(c, k).tobytes()], pa.binary()) for c, k in zip(cells, kinds)],
+                    ],
+                    ["n", "width", "sizes", "coordinates", "places", "numbers"],
+                )
+                first = last
+
+    schema = "n int, width int, sizes binary, coordinates binary, places binary, numbers binary"
+    return df.select(features).mapInArrow(packed, schema)
+
+
+class _PackedBlock(_Block):
+    """A block as ``_packed`` writes it."""
+
+    def __init__(self, row: dict):
+        self.n = row["n"]
+        self.values = np.frombuffer(row["numbers"], np.float64)
+        self.dense = self.values.reshape(self.n, -1) if row["width"] >= 0 else None
+        self.rows = np.repeat(np.arange(self.n), np.frombuffer(row["sizes"], np.int32)) if self.dense is None else None
+        self.coordinates = np.frombuffer(row["coordinates"], np.int64)
+        self.places = np.frombuffer(row["places"], np.int32)
+
+    def distances(self, centres: Centroids) -> np.ndarray:
+        if self.dense is not None:
+            return super().distances(centres)
+        out = np.empty((self.n, centres.k))
+        square = np.bincount(self.rows, self.values * self.values, self.n)
+        here = np.zeros((centres.k, len(self.coordinates)))
+        found, _, places = centres.meet(np.arange(len(self.coordinates)), self.coordinates, self.coordinates)
+        here[:, found] = centres.filled[:, places]
+        for j, centre in enumerate(centres.filled):
+            dot = np.bincount(self.rows, self.values * here[j][self.places], self.n)
+            out[:, j] = np.maximum(square - 2 * dot + centre @ centre, 0.0)
+        return out
+
+    def sums(self, labels: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if self.dense is not None:
+            return super().sums(labels, k)
+        width = max(1, len(self.coordinates))
+        total = np.bincount(labels[self.rows].astype(np.int64) * width + self.places, self.values, k * width)
+        cells = np.flatnonzero(total)
+        return cells // width, self.coordinates[cells % width], total[cells]
+
+
 def _step(data: DataFrame, centres: Centroids, decimals: int) -> tuple[Centroids, float, float]:
-    """One assignment and update in a single pass; tasks hand on sums, not rows.
+    """One assignment and update in a single pass over packed blocks; tasks hand on sums, not rows.
 
     Gives the new centroids, the largest squared move and the cost before.
     """
     k = centres.k
 
+    def added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        cells, places = np.unique(np.concatenate([part[0] for part in held]), return_inverse=True)
+        return cells, np.bincount(places, np.concatenate([part[1] for part in held]), len(cells))
+
+    def sliced(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        cells, s = added(held)
+        slices, starts = np.unique(cells >> SLICE_BITS, return_index=True)
+        ends = [*starts[1:], len(cells)]
+        for number, i, j in zip(slices, starts, ends):
+            row = {"slice": [int(number)], "cells": [cells[i:j].tobytes()], "sums": [s[i:j].tobytes()]}
+            yield pa.RecordBatch.from_pydict(row, schema=pa.schema(_SUMS))
+
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        every = np.arange(k)
         for batch in batches:
-            block = _Block(batch.column(0))
-            label, distance = _nearest(block, centres, decimals)
-            cluster, index, total = block.sums(label, k)
-            every = np.arange(k)
-            size = np.bincount(label, minlength=k)
-            cost = np.bincount(label, distance, k)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "cluster": np.concatenate([cluster, every, every]).astype(np.int32),
-                    "idx": np.concatenate(
-                        [index, np.full(k, _COUNT), np.full(k, _COST)]
-                    ).astype(np.int32),
-                    "s": np.concatenate([total, size, cost]),
-                }
-            )
-
-    parts = data.mapInArrow(partial, "cluster int, idx int, s double")
+            for row in batch.to_pylist():
+                block = _PackedBlock(row)
+                label, distance = _nearest(block, centres, decimals)
+                cluster, index, total = block.sums(label, k)
+                held.append(((index.astype(np.int64) - _COST) * k + cluster, total))
+                for place, figure in ((_COUNT, np.bincount(label, minlength=k)), (_COST, np.bincount(label, distance, k))):
+                    held.append(((place - _COST) * k + every, figure.astype(np.float64)))
+            if sum(len(part[0]) for part in held) > TASK_SUMS:
+                held = [added(held)]
+        if held:
+            yield from sliced(held)
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                held.append((np.frombuffer(row["cells"], np.int64), np.frombuffer(row["sums"], np.float64)))
+                if sum(len(part[0]) for part in held) > TASK_SUMS:
+                    held = [added(held)]
+        if held:
+            yield from sliced(held)
+
+    schema = "slice long, cells binary, sums binary"
+    parts = data.mapInArrow(partial, schema).repartition("slice").mapInArrow(together, schema)
     # The sums of the coordinates that occur, the size of the centroids.
-    summed = parts.groupBy("cluster", "idx").agg(F.sum("s").alias("s")).toArrow()
-    cluster, index, s = (summed.column(i).to_numpy() for i in range(3))
+    summed = parts.toArrow()
+    cells = np.frombuffer(b"".join(summed.column("cells").to_pylist()), np.int64)
+    s = np.frombuffer(b"".join(summed.column("sums").to_pylist()), np.float64)
+    cluster, index = cells % k, cells // k + _COST
     sizes = np.zeros(k)
     sizes[cluster[index == _COUNT]] = s[index == _COUNT]
     cell = index >= 0
@@ -300,13 +411,13 @@ def kmeans_lloyd(
 
     Stops early once no centroid moves by more than ``tol``, if ``tol`` is positive.
     """
-    data = df.select(id_col, features).persist(StorageLevel.MEMORY_AND_DISK)
+    seeds = kmeans_seed(df.select(id_col, features), id_col, k, seed, features).select("cluster", features).collect()
+    data = _packed(df, features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        seeds = kmeans_seed(data, id_col, k, seed, features).select("cluster", features).collect()
         centres = Centroids.of(row[features] for row in sorted(seeds, key=lambda row: row["cluster"]))
         costs: list[float] = []
         for _ in range(iters):
-            centres, shift, cost = _step(data.select(features), centres, decimals)
+            centres, shift, cost = _step(data, centres, decimals)
             costs.append(cost)
             if tol > 0 and shift <= tol * tol:
                 break

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from siftmine.operators import clustering, features
@@ -124,3 +125,22 @@ def test_lloyd_report_job(spark, weighting):
     report = jobs.lloyd_report(features.tokenize_docs(df, "text"), 3, 4, weighting).first()
     assert sum(c["size"] for c in report["clusters"]) == 40
     assert report["wsse"] == pytest.approx(sum(c["error"] for c in report["clusters"]))
+
+
+@pytest.mark.parametrize("sparse", [True, False])
+def test_lloyd_steps_read_packed_blocks_and_hand_on_packed_sums(spark, monkeypatch, sparse):
+    rows = [(i, [float((i * 7 + j * 3) % 5) if (i + j) % 3 else 0.0 for j in range(9)]) for i in range(60)]
+    if sparse:
+        rows = [(i, Vectors.sparse(9, [(j, x) for j, x in enumerate(row) if x])) for i, row in rows]
+        df = spark.createDataFrame(rows, ["id", "features"])
+    else:
+        df = spark.createDataFrame(rows, "id long, features array<double>")
+    whole, costs = clustering.kmeans_lloyd(df, 4, 5, 1, "id")
+    for name, value in {"BLOCK_NUMBERS": 20, "TASK_SUMS": 7, "SLICE_BITS": 2}.items():
+        monkeypatch.setattr(clustering, name, value)
+    blocks = clustering._packed(df, "features").collect()
+    assert len(blocks) > 10 and sum(row["n"] for row in blocks) == 60
+    assert all(len(row["numbers"]) <= 20 * 8 for row in blocks)
+    parts, same = clustering.kmeans_lloyd(df, 4, 5, 1, "id")
+    assert same == pytest.approx(costs)
+    assert np.asarray(parts) == pytest.approx(np.asarray(whole))
