@@ -9,11 +9,11 @@ the number of frequent items.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +25,9 @@ CHUNK_BASKETS = 100_000
 # The support within a chunk stays at least this high, else a chunk would list nearly all subsets.
 LEAST_CHUNK_SUPPORT = 5
 
+# Items in the conditional baskets of one pattern that a task grows in memory; above, Spark projects them once more.
+GROUP_ITEMS = 16_000_000
+
 # Distinct baskets of one item, and sets of one rarest item, that a task holds at once.
 SPLIT_BASKETS = 20_000
 TREE_SETS = 50_000
@@ -51,84 +54,140 @@ def frequent_items(rows: DataFrame, support: int) -> DataFrame:
 
 
 def pruned_baskets(rows: DataFrame, support: int) -> DataFrame:
-    """(basket, items): the sorted frequent items of each basket that has any."""
+    """(basket, ranked): the frequent items of each basket that has any, the commonest first."""
     rows = rows.select("basket", F.col("item").cast("string").alias("item"))
-    keep = frequent_items(rows, support).select("item")
+    keep = frequent_items(rows, support)
     # The set drops repeated rows within every task, before baskets are brought together.
-    return baskets(rows.join(keep, "item"), "basket", "item")
+    ranks = F.array_sort(F.collect_set(F.struct((-F.col("n")).alias("rank"), "item")))
+    return rows.join(keep, "item").groupBy("basket").agg(ranks.getField("item").alias("ranked"))
 
 
 def weighted_baskets(rows: DataFrame, support: int) -> DataFrame:
-    """(items, weight): distinct baskets of frequent items, with their number."""
-    pruned = pruned_baskets(rows, support)
-    counted = pruned.groupBy("items").agg(F.count(F.lit(1)).alias("weight"))
-    return settle(counted, "baskets")
+    """(items, ranked, weight): distinct baskets of frequent items, sorted and by rank, with their number."""
+    counted = pruned_baskets(rows, support).groupBy("ranked").agg(F.count(F.lit(1)).alias("weight"))
+    return settle(counted, "baskets").select(F.array_sort("ranked").alias("items"), "ranked", "weight")
 
 
 def _shape(itemsets: DataFrame) -> DataFrame:
     return itemsets.select("items", F.size("items").alias("size"), "freq")
 
 
-def frequent_itemsets(rows: DataFrame, support: int, partitions: int | None = None) -> DataFrame:
+def _codes(lists: pa.ListArray, known: dict[str, int]) -> np.ndarray:
+    """The items of all lists as numbers; new ones are added to ``known``."""
+    flat = lists.flatten().dictionary_encode()
+    own = np.array([known.setdefault(name, len(known)) for name in flat.dictionary.to_pylist()], np.int32)
+    return own[flat.indices.to_numpy()] if len(flat) else own
+
+
+def _lists(
+    batches: Iterator[pa.RecordBatch], column: str
+) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Names of the items, numbers of the items of all lists of ``column``, the lists' sizes and weights."""
+    known: dict[str, int] = {}
+    codes, sizes, weights = [np.empty(0, np.int32)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for batch in batches:
+        lists = batch.column(column)
+        codes.append(_codes(lists, known))
+        sizes.append(lists.value_lengths().to_numpy())
+        weights.append(batch.column("weight").to_numpy())
+    # Numbers of two bytes sort faster.
+    kind = np.uint16 if len(known) <= 2**16 else np.int32
+    return list(known), np.concatenate(codes).astype(kind), np.concatenate(sizes), np.concatenate(weights)
+
+
+def _grown(
+    names: list[str],
+    codes: np.ndarray,
+    sizes: np.ndarray,
+    weights: np.ndarray,
+    threshold: float,
+    max_size: int | None = None,
+) -> Iterator[tuple[tuple[str, ...], int]]:
+    """(itemset, weight) of those in the lists whose weight reaches ``threshold``.
+
+    All lists keep to one order of the items. An itemset grows by an item that
+    comes before its own, counted in the parts of its lists that come before it.
+    """
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    filled = np.flatnonzero(sizes)
+    todo: list[tuple[tuple[str, ...], np.ndarray, np.ndarray]] = [((), filled, ends[filled])]
+    if not len(filled):
+        return
+    while todo:
+        pattern, held, upto = todo.pop()
+        each = upto - starts[held]
+        place = np.arange(each.sum()) + np.repeat(upto - np.cumsum(each), each)
+        order = np.argsort(codes[place], kind="stable")
+        place, owner = place[order], np.repeat(held, each)[order]
+        code = codes[place]
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        last, sums = np.append(first[1:], len(code)), np.add.reduceat(weights[owner], first)
+        for i in np.flatnonzero(sums >= threshold):
+            grown = (*pattern, names[code[first[i]]])
+            yield grown, int(sums[i])
+            if max_size is not None and len(grown) >= max_size:
+                continue
+            own, end = owner[first[i] : last[i]], place[first[i] : last[i]]
+            rest = end > starts[own]
+            if rest.any() and weights[own[rest]].sum() >= threshold:
+                todo.append((grown, own[rest], end[rest]))
+
+
+def _batches(found: Iterator[tuple[tuple[str, ...], int]]) -> Iterator[pa.RecordBatch]:
+    """(items, freq) of the itemsets, in batches of a bounded size."""
+    while some := list(islice(found, 10_000)):
+        items, freq = zip(*some)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(items, pa.list_(pa.string())), pa.array(freq, pa.int64())], ["items", "freq"]
+        )
+
+
+def frequent_itemsets(
+    rows: DataFrame, support: int, partitions: int | None = None, weighted: DataFrame | None = None
+) -> DataFrame:
     """(items, size, freq) of all itemsets in at least ``support`` baskets, by parallel FP-growth.
 
-    ``rows`` holds (basket, item).
+    ``rows`` holds (basket, item). The commoner items beside an item are its
+    conditional baskets. They are brought together by item, and a task grows the
+    item's sets from them. Where they hold more than ``GROUP_ITEMS`` items, Spark
+    counts them and projects them on one more item, until a task can hold them.
+    ``partitions`` is the number of tasks that grow sets, else it follows the data.
     """
-    pruned = settle(pruned_baskets(rows, support), "baskets")
-    total = pruned.count()
-    if not total:
-        return rows.sparkSession.createDataFrame([], f"items {_ITEMSET}, size int, freq long")
-    # Half a basket below the wanted count, so rounding of the fraction cannot move the cut.
-    growth = FPGrowth(itemsCol="items", minSupport=min(1.0, (support - 0.5) / total))
-    if partitions:
-        growth = growth.setNumPartitions(partitions)
-    found = growth.fit(pruned).freqItemsets
-    sets = found.select(F.array_sort("items").alias("items"), F.col("freq"))
-    return _shape(sets.filter(F.col("freq") >= support))
-
-
-def _places(sets: list[list[str]]) -> dict[str, np.ndarray]:
-    """The baskets of every item, by their place in ``sets``."""
-    places: dict[str, list[int]] = {}
-    for place, items in enumerate(sets):
-        for item in items:
-            places.setdefault(item, []).append(place)
-    return {item: np.array(found) for item, found in places.items()}
-
-
-def _both(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return np.intersect1d(left, right, assume_unique=True)
-
-
-def _local_levels(
-    sets: list[list[str]], weights: np.ndarray, threshold: float, max_size: int | None
-) -> Iterator[tuple[str, ...]]:
-    """Itemsets of one chunk whose weight reaches ``threshold``, level by level."""
-    holders = _places(sets)
-    names = sorted(holders)
-    level = {}
-    for i, name in enumerate(names):
-        if weights[holders[name]].sum() >= threshold:
-            level[(i,)] = holders[name]
-    single = dict(level)
-    while level:
-        yield from (tuple(names[i] for i in key) for key in level)
-        size = len(next(iter(level))) + 1
-        if max_size is not None and size > max_size:
-            return
-        by_prefix: dict[tuple[int, ...], list[int]] = {}
-        for key in level:
-            by_prefix.setdefault(key[:-1], []).append(key[-1])
-        grown = {}
-        for prefix, tails in by_prefix.items():
-            for low, high in combinations(sorted(tails), 2):
-                key = (*prefix, low, high)
-                if any(key[:j] + key[j + 1 :] not in level for j in range(size - 2)):
-                    continue
-                both = _both(level[(*prefix, low)], single[(high,)])
-                if weights[both].sum() >= threshold:
-                    grown[key] = both
-        level = grown
+    weighted = weighted_baskets(rows, support) if weighted is None else weighted
+
+    def mine(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pattern = key[0].as_py()
+        found = _grown(*_lists(batches, "before"), max(1, support))
+        yield from _batches(((*pattern, *items), freq) for items, freq in found)
+
+    none = F.array().cast(_ITEMSET)
+    bases = weighted.select(none.alias("pattern"), F.col("ranked").alias("before"), "weight")
+    found = []
+    while True:
+        placed = bases.select("pattern", "before", "weight", F.posexplode("before").alias("place", "item"))
+        pattern = F.concat("pattern", F.array("item")).alias("pattern")
+        counts = settle(
+            placed.groupBy("pattern", "item")
+            .agg(F.sum("weight").alias("freq"), F.sum("place").alias("n"))
+            .filter(F.col("freq") >= support)
+            .select(pattern, "freq", "n"),
+            "pattern-counts",
+        )
+        found.append(counts.select(F.col("pattern").alias("items"), "freq"))
+        before = F.expr("slice(before, 1, place)").alias("before")
+        projected = placed.filter("place > 0").select(pattern, before, "weight")
+        known = projected.join(counts.select("pattern", "n"), "pattern")
+        light = known.filter(F.col("n") <= GROUP_ITEMS).drop("n")
+        if partitions:
+            light = light.repartition(partitions, "pattern")
+        found.append(light.groupBy("pattern").applyInArrow(mine, f"items {_ITEMSET}, freq long"))
+        if counts.filter(F.col("n") > GROUP_ITEMS).isEmpty():
+            break
+        heavy = known.filter(F.col("n") > GROUP_ITEMS).groupBy("pattern", "before")
+        bases = settle(heavy.agg(F.sum("weight").alias("weight")), "projected")
+    every = reduce(DataFrame.union, found)
+    return _shape(every.select(F.array_sort("items").alias("items"), "freq"))
 
 
 def son_candidates(
@@ -161,32 +220,20 @@ def son_candidates(
             "take larger chunks, a higher support, or low_support='growth'"
         )
     if too_low:
-        found = frequent_itemsets(rows, support)
+        found = frequent_itemsets(rows, support, weighted=weighted)
         return (found if max_size is None else found.filter(F.col("size") <= max_size)).select("items")
     share = support / max(1, size["n"])
 
     def mine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: list[list[str]] = []
-        weights: list[int] = []
-        for batch in batches:
-            sets += batch.column("items").to_pylist()
-            weights += batch.column("weight").to_pylist()
-        if not sets:
-            return
-        weight = np.array(weights, dtype=np.int64)
+        names, codes, sizes, weights = _lists(batches, "items")
         # The small slack keeps rounding of the share from raising the threshold.
-        threshold = max(1.0, share * weight.sum() - 1e-6)
-        found: list[tuple[str, ...]] = []
-        for items in _local_levels(sets, weight, threshold, max_size):
-            found.append(items)
-            if len(found) == 10_000:
-                yield pa.RecordBatch.from_pydict({"items": pa.array(found, pa.list_(pa.string()))})
-                found = []
-        if found:
-            yield pa.RecordBatch.from_pydict({"items": pa.array(found, pa.list_(pa.string()))})
-
-    spread = weighted.repartition(chunks, F.xxhash64("items"))
-    return spread.mapInArrow(mine, f"items {_ITEMSET}").distinct()
+        threshold = max(1.0, share * weights.sum() - 1e-6)
+        for batch in _batches(_grown(names, codes, sizes, weights, threshold, max_size)):
+            yield batch.select(["items"])
+
+    spread = weighted.repartition(chunks, F.xxhash64("items")).select("items", "weight")
+    found = spread.mapInArrow(mine, f"items {_ITEMSET}")
+    return found.select(F.array_sort("items").alias("items")).distinct()
 
 
 def _item_counts(weighted: DataFrame) -> DataFrame:

@@ -69,6 +69,37 @@ def test_counts_split_by_baskets_and_by_trees(frame, spark, monkeypatch, bounds)
     assert grown == {k: n for k, n in every.items() if len(k) == 3 and n >= 4}
 
 
+@pytest.mark.parametrize("bound", [0, 40, 16_000_000])
+def test_growth_projects_what_a_task_cannot_hold(frame, monkeypatch, bound):
+    """All patterns, some or none projected by Spark; null items are in no itemset, a null basket is one."""
+    monkeypatch.setattr(itemsets, "GROUP_ITEMS", bound)
+    rows = [*_rows(12), (None, "1"), (None, "4"), (2, None), (2, None)]
+    expected = _brute([row for row in rows if row[1] is not None], 4)
+    assert max(map(len, expected)) > 3
+    assert _found(itemsets.frequent_itemsets(frame(rows), 4)) == expected
+    assert _found(itemsets.frequent_itemsets(frame(rows), 4, partitions=1)) == expected
+
+
+def test_equal_baskets_are_mined_once(frame, monkeypatch):
+    """Growth reads a row per distinct basket, and baskets that are at hand are not formed again."""
+    formed, settle = [], itemsets.settle
+
+    def seen(df, purpose):
+        kept = settle(df, purpose)
+        if purpose == "baskets":
+            formed.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(itemsets, "settle", seen)
+    rows = [(b, item) for b in range(300) for item in "abc"] + [(b, "a") for b in range(300, 400)]
+    found = _found(itemsets.frequent_itemsets(frame(rows), 100))
+    assert found == _brute(rows, 100) and formed == [2]
+    weighted = itemsets.weighted_baskets(frame(rows), 100)
+    assert _found(itemsets.frequent_itemsets(frame(rows), 100, weighted=weighted)) == found
+    assert itemsets.son_candidates(frame(rows), 100, 1, weighted=weighted).count() == len(found)
+    assert formed == [2, 2]
+
+
 def test_support_too_low_for_chunks_is_an_error(frame):
     rows = _rows(0)
     with pytest.raises(ValueError, match="larger chunks"):
