@@ -24,11 +24,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from siftmine.session import small_batches
+
 _COUNT, _COST = -1, -2  # coordinates under which partial sums carry size and cost
 #: Numbers that a packed block of rows holds at most, unless one row has more.
 BLOCK_NUMBERS = 500_000
-#: Partial sums that a task gathers before it adds up those of one coordinate.
+#: Partial sums that a task gathers before it adds up those of one coordinate; up to twice as many cells are one table.
 TASK_SUMS = 4_000_000
+#: Rows that are assigned to their centres at a time.
+SLICE_ROWS = 1_000
 #: Sums of 2 to this power cells (coordinate, cluster) travel in one row.
 SLICE_BITS = 16
 _SUMS = [("slice", pa.int64()), ("cells", pa.binary()), ("sums", pa.binary())]
@@ -173,11 +177,15 @@ def kmeans_assign(
     df: DataFrame, centroids, features: str = "features", decimals: int = 9
 ) -> DataFrame:
     """Add ``cluster`` and ``sqdist``: the nearest centroid and the squared distance to it."""
+    small_batches(df.sparkSession)
     centres = Centroids.of(centroids)
 
     @F.arrow_udf("cluster int, sqdist double")
     def nearest(column: pa.Array) -> pa.Array:
-        label, distance = _nearest(_Block(column), centres, decimals)
+        # In few rows at a time, as the distances take several times their size.
+        slices = [column.slice(i, SLICE_ROWS) for i in range(0, len(column), SLICE_ROWS)] or [column]
+        found = [_nearest(_Block(part), centres, decimals) for part in slices]
+        label, distance = (np.concatenate([pair[i] for pair in found]) for i in (0, 1))
         return pa.StructArray.from_arrays(
             [pa.array(label, pa.int32()), pa.array(distance, pa.float64())], ["cluster", "sqdist"]
         )
@@ -338,6 +346,45 @@ class _PackedBlock(_Block):
         return cells // width, self.coordinates[cells % width], total[cells]
 
 
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Row by row the numbers, and the bytes where they lie."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            cells = {name: batch.column(name)[i] for name in batch.schema.names}
+            yield {n: c.as_buffer() if isinstance(c, pa.BinaryScalar) else c.as_py() for n, c in cells.items()}
+
+
+class _Sums:
+    """Sums by cell, a number from 0 to ``n`` - 1: one table where it is small, else gathered and added up."""
+
+    def __init__(self, n: int):
+        self.table = np.zeros(n) if n <= 2 * TASK_SUMS else None
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = self.least = 0
+
+    def add(self, cells: np.ndarray, values: np.ndarray) -> None:
+        """``cells`` has no cell twice."""
+        if self.table is not None:
+            self.table[cells] += values
+            return
+        self.held.append((cells, values))
+        self.size += len(cells)
+        # What stays after adding up counts once more before the next time.
+        if self.size > TASK_SUMS + self.least:
+            self.held = [self.total()]
+            self.size = self.least = len(self.held[0][0])
+
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        """The cells in order with their sums."""
+        if self.table is not None:
+            cells = np.flatnonzero(self.table)
+            return cells, self.table[cells]
+        if not self.held:
+            return np.empty(0, np.int64), np.empty(0)
+        cells, places = np.unique(np.concatenate([part[0] for part in self.held]), return_inverse=True)
+        return cells, np.bincount(places, np.concatenate([part[1] for part in self.held]), len(cells))
+
+
 def _step(data: DataFrame, centres: Centroids, decimals: int) -> tuple[Centroids, float, float]:
     """One assignment and update in a single pass over packed blocks; tasks hand on sums, not rows.
 
@@ -345,12 +392,8 @@ def _step(data: DataFrame, centres: Centroids, decimals: int) -> tuple[Centroids
     """
     k = centres.k
 
-    def added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        cells, places = np.unique(np.concatenate([part[0] for part in held]), return_inverse=True)
-        return cells, np.bincount(places, np.concatenate([part[1] for part in held]), len(cells))
-
-    def sliced(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        cells, s = added(held)
+    def sliced(sums: _Sums) -> Iterator[pa.RecordBatch]:
+        cells, s = sums.total()
         slices, starts = np.unique(cells >> SLICE_BITS, return_index=True)
         ends = [*starts[1:], len(cells)]
         for number, i, j in zip(slices, starts, ends):
@@ -358,30 +401,27 @@ def _step(data: DataFrame, centres: Centroids, decimals: int) -> tuple[Centroids
             yield pa.RecordBatch.from_pydict(row, schema=pa.schema(_SUMS))
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        sums = _Sums((centres.d - _COST) * k)
         every = np.arange(k)
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = _PackedBlock(row)
-                label, distance = _nearest(block, centres, decimals)
-                cluster, index, total = block.sums(label, k)
-                held.append(((index.astype(np.int64) - _COST) * k + cluster, total))
-                for place, figure in ((_COUNT, np.bincount(label, minlength=k)), (_COST, np.bincount(label, distance, k))):
-                    held.append(((place - _COST) * k + every, figure.astype(np.float64)))
-            if sum(len(part[0]) for part in held) > TASK_SUMS:
-                held = [added(held)]
-        if held:
-            yield from sliced(held)
+        for row in _cells(batches):
+            block = _PackedBlock(row)
+            label, distance = _nearest(block, centres, decimals)
+            cluster, index, total = block.sums(label, k)
+            sums.add((index.astype(np.int64) - _COST) * k + cluster, total)
+            for place, figure in ((_COUNT, np.bincount(label, minlength=k)), (_COST, np.bincount(label, distance, k))):
+                sums.add((place - _COST) * k + every, figure.astype(np.float64))
+        yield from sliced(sums)
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        for batch in batches:
-            for row in batch.to_pylist():
-                held.append((np.frombuffer(row["cells"], np.int64), np.frombuffer(row["sums"], np.float64)))
-                if sum(len(part[0]) for part in held) > TASK_SUMS:
-                    held = [added(held)]
-        if held:
-            yield from sliced(held)
+        slices: dict[int, _Sums] = {}
+        for row in _cells(batches):
+            number = row["slice"]
+            sums = slices.setdefault(number, _Sums(1 << SLICE_BITS))
+            sums.add(np.frombuffer(row["cells"], np.int64) - (number << SLICE_BITS), np.frombuffer(row["sums"], np.float64))
+        for number, sums in slices.items():
+            cells, s = sums.total()
+            row = {"slice": [number], "cells": [(cells + (number << SLICE_BITS)).tobytes()], "sums": [s.tobytes()]}
+            yield pa.RecordBatch.from_pydict(row, schema=pa.schema(_SUMS))
 
     schema = "slice long, cells binary, sums binary"
     parts = data.mapInArrow(partial, schema).repartition("slice").mapInArrow(together, schema)
@@ -411,8 +451,10 @@ def kmeans_lloyd(
 
     Stops early once no centroid moves by more than ``tol``, if ``tol`` is positive.
     """
+    small_batches(df.sparkSession)
     seeds = kmeans_seed(df.select(id_col, features), id_col, k, seed, features).select("cluster", features).collect()
-    data = _packed(df, features).persist(StorageLevel.MEMORY_AND_DISK)
+    # On disk: the executors' memory stays free for the steps.
+    data = _packed(df, features).persist(StorageLevel.DISK_ONLY)
     try:
         centres = Centroids.of(row[features] for row in sorted(seeds, key=lambda row: row["cluster"]))
         costs: list[float] = []

@@ -104,6 +104,28 @@ def test_mllib_clusters(spark):
         assert found.agg(F.sum("size")).first()[0] == 300
 
 
+def test_sums_stay_in_one_table_and_rows_come_in_small_batches(spark, monkeypatch):
+    dice = np.random.default_rng(5)
+    parts = [(np.unique(dice.integers(0, 50, 20)), seed) for seed in range(30)]
+    expected = np.zeros(50)
+    for limit in (25, 24, 3):
+        monkeypatch.setattr(clustering, "TASK_SUMS", limit)
+        sums, expected = clustering._Sums(50), np.zeros(50)
+        for cells, seed in parts:
+            values = np.random.default_rng(seed).normal(size=len(cells))
+            sums.add(cells, values)
+            expected[cells] += values
+            held = 50 if sums.table is not None else sum(len(part[0]) for part in sums.held)
+            assert held <= max(50, limit + 50)
+        cells, found = sums.total()
+        assert cells.tolist() == np.flatnonzero(expected).tolist() and found == pytest.approx(expected[cells])
+    df, x = _points(spark, n=50)
+    whole = _assigned(clustering.kmeans_assign(df, x[:3]))
+    monkeypatch.setattr(clustering, "SLICE_ROWS", 7)
+    assert _assigned(clustering.kmeans_assign(df, x[:3])) == whole
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "8MB"
+
+
 def test_terms_and_report(spark):
     rows = [(0, ["a", "b", "b"], 1.0), (0, ["a", ""], 2.0), (1, ["z"], 4.0), (2, [], 0.5)]
     docs = spark.createDataFrame(rows, "cluster int, tokens array<string>, sqdist double")
